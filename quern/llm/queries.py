@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import boilerplate
+from quern.llm import boilerplate, forest, neardup
 from quern.session import table
 
 
@@ -39,7 +39,22 @@ def p1_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boilerplate.remove_repeated_lines(docs, lines).select("document_id", "body", "removed_lines")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_lines": p1_lines, "p1_clean": p1_clean}
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.replay(table(spark, sf_dir, "raw_documents"), threshold=0.5, shingle=3, min_words=50)
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "raw_documents"), threshold=0.5, shingle=3, min_words=50)
+    return found.pairs().select(F.col("id_a").alias("document_id_a"), F.col("id_b").alias("document_id_b"))
+
+
+def p7_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document with its group and the number of different texts that its own is linked to."""
+    found = neardup.near_duplicates(table(spark, sf_dir, "raw_documents"))
+    return found.groups().select(F.col("id").alias("document_id"), "group", "links")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_lines": p1_lines, "p1_clean": p1_clean, "p4_found": p4_found, "p7_found": p7_found, "p7_groups": p7_groups}
 
 _LINES = r"""
 lines AS (
@@ -49,6 +64,15 @@ lines AS (
         FROM raw_documents WHERE body IS NOT NULL))
 """
 
+_SHINGLES = r"""
+words AS (SELECT document_id, doc_uid, lower(content_hash) AS h, CAST(ingested_at AS DATE) AS day, regexp_extract_all(lower(body), '[\p{L}\p{N}]+') AS w FROM raw_documents),
+long AS (SELECT * FROM words WHERE len(w) >= 50),
+sh AS (SELECT DISTINCT document_id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS s FROM long),
+size AS (SELECT document_id, count(*) AS n FROM sh GROUP BY 1),
+common AS (SELECT a.document_id AS a, b.document_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.document_id < b.document_id GROUP BY 1, 2),
+pairs AS (SELECT a, b FROM common JOIN size x ON a = x.document_id JOIN size y ON b = y.document_id WHERE 2 * c >= x.n + y.n - c)
+"""
+
 ORACLE: dict[str, str] = {
     "p1_found": f"""
 WITH {_LINES},
@@ -56,5 +80,12 @@ totals AS (SELECT coalesce(source_name, '') AS source, count(*) AS n FROM raw_do
 often AS (SELECT l.source, norm FROM lines l JOIN totals t ON l.source = t.source WHERE norm <> ''
           GROUP BY l.source, norm, t.n HAVING count(DISTINCT document_id) >= 5 AND count(DISTINCT document_id) >= 0.04 * t.n)
 SELECT document_id, CAST(line_no AS BIGINT) AS line_no FROM lines JOIN often USING (source, norm)
-"""
+""",
+    "p4_found": f"""
+WITH {_SHINGLES}
+SELECT DISTINCT r.document_id FROM words r JOIN words o ON r.doc_uid = o.doc_uid AND o.day < r.day
+UNION SELECT r.document_id FROM long r JOIN long o ON r.h = o.h AND o.day < r.day
+UNION SELECT r.document_id FROM (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs) p JOIN words r ON r.document_id = a JOIN words o ON o.document_id = b WHERE o.day < r.day
+""",
+    "p7_found": f"WITH {_SHINGLES} SELECT a AS document_id_a, b AS document_id_b FROM pairs",
 }
