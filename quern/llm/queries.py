@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import boilerplate, forest, neardup
+from quern.llm import boilerplate, forest, leakage, neardup, textstats
 from quern.session import table
 
 
@@ -54,7 +54,28 @@ def p7_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groups().select(F.col("id").alias("document_id"), "group", "links")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_lines": p1_lines, "p1_clean": p1_clean, "p4_found": p4_found, "p7_found": p7_found, "p7_groups": p7_groups}
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaked_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).select("doc_id", "item_id").distinct()
+
+
+def p8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaked_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p8_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return leakage.without_leaks(docs, leakage.leaked_passages(docs, table(spark, sf_dir, "eval_items"))).select("doc_id", "source", "n_chars")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return textstats.text_statistics(table(spark, sf_dir, "documents")).filter(~F.col("text_kind").isin("prose", "empty")).select("doc_id", "text_kind")
+
+
+def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return textstats.text_statistics(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_lines": p1_lines, "p1_clean": p1_clean, "p4_found": p4_found, "p7_found": p7_found, "p7_groups": p7_groups, "p8_found": p8_found, "p8_passages": p8_passages, "p8_clean": p8_clean, "p10_found": p10_found, "p10_statistics": p10_statistics}
 
 _LINES = r"""
 lines AS (
@@ -73,6 +94,13 @@ common AS (SELECT a.document_id AS a, b.document_id AS b, count(*) AS c FROM sh
 pairs AS (SELECT a, b FROM common JOIN size x ON a = x.document_id JOIN size y ON b = y.document_id WHERE 2 * c >= x.n + y.n - c)
 """
 
+_RUNS = r"""
+doc_words AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+item_words AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_items),
+doc_runs AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 10), lambda i: array_to_string(w[i:i + 11], ' '))) AS run FROM doc_words),
+item_runs AS (SELECT item_id, unnest(list_transform(range(1, len(w) - 10), lambda i: array_to_string(w[i:i + 11], ' '))) AS run FROM item_words)
+"""
+
 ORACLE: dict[str, str] = {
     "p1_found": f"""
 WITH {_LINES},
@@ -88,4 +116,12 @@ UNION SELECT r.document_id FROM long r JOIN long o ON r.h = o.h AND o.day < r.da
 UNION SELECT r.document_id FROM (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs) p JOIN words r ON r.document_id = a JOIN words o ON o.document_id = b WHERE o.day < r.day
 """,
     "p7_found": f"WITH {_SHINGLES} SELECT a AS document_id_a, b AS document_id_b FROM pairs",
+    "p8_found": f"""
+WITH {_RUNS}
+SELECT DISTINCT doc_id, item_id FROM doc_runs JOIN item_runs USING (run)
+""",
+    "p8_clean": f"""
+WITH {_RUNS}
+SELECT doc_id, source, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM doc_runs JOIN item_runs USING (run))
+""",
 }
