@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import boilerplate, forest, leakage, neardup, textstats
+from quern.llm import boilerplate, forest, leakage, neardup, textstats, truncation
 from quern.session import table
 
 
@@ -39,6 +39,18 @@ def p1_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boilerplate.remove_repeated_lines(docs, lines).select("document_id", "body", "removed_lines")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = truncation.truncated_values(table(spark, sf_dir, "raw_documents")).filter("truncated")
+    return found.select(F.col("id").alias("document_id"), F.col("field").alias("field_name"))
+
+
+def p2_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of truncated values per source and field."""
+    found = truncation.truncated_values(table(spark, sf_dir, "raw_documents"))
+    cut = F.count_if("truncated")
+    return found.groupBy(F.col("source").alias("source_name"), F.col("field").alias("field_name")).agg(F.count(F.lit(1)).alias("n_values"), cut.alias("n_truncated"), F.count_if("marked").alias("n_marked"), (cut / F.count(F.lit(1))).alias("share"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.replay(table(spark, sf_dir, "raw_documents"), threshold=0.5, shingle=3, min_words=50)
 
@@ -75,7 +87,7 @@ def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return textstats.text_statistics(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_lines": p1_lines, "p1_clean": p1_clean, "p4_found": p4_found, "p7_found": p7_found, "p7_groups": p7_groups, "p8_found": p8_found, "p8_passages": p8_passages, "p8_clean": p8_clean, "p10_found": p10_found, "p10_statistics": p10_statistics}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_lines": p1_lines, "p1_clean": p1_clean, "p2_found": p2_found, "p2_rates": p2_rates, "p4_found": p4_found, "p7_found": p7_found, "p7_groups": p7_groups, "p8_found": p8_found, "p8_passages": p8_passages, "p8_clean": p8_clean, "p10_found": p10_found, "p10_statistics": p10_statistics}
 
 _LINES = r"""
 lines AS (

@@ -117,13 +117,13 @@ def kind(s: dict[str, float]) -> str:
         return "junk"
     if s["n_words"] >= 8 and (s["top_word"] > 0.45 or s["distinct_words"] < 0.08):
         return "junk"
-    if s["implausible_words"] > 0.25 and s["common_words"] < 0.12:
+    if s["implausible_words"] > 0.4 or (s["implausible_words"] > 0.25 and s["common_words"] < 0.12):
         return "junk"
     if s["n_lines"] >= 3 and s["common_words"] < 0.15 and max(s["cell_alignment"], s["column_alignment"]) >= 0.7 and s["mean_line_words"] >= 2:
         return "table"
-    # Items: short lines without an end mark, most of them; bullets or even, unrelated line lengths strengthen the case.
+    # Items: most lines short and without an end mark; bullets, a recurring indent or unrelated line lengths strengthen the case.
     regular = s["bullet_lines"] >= 0.6 or s["indent_period"] >= 0.9 or s["length_autocorrelation"] < 0.6
-    if s["n_lines"] >= 3 and s["short_lines"] >= 0.7 and s["common_words"] < 0.2 and (regular or s["short_lines"] >= 0.9):
+    if s["n_lines"] >= 3 and s["short_lines"] >= 0.7 and s["mean_line_words"] <= 6 and s["common_words"] < 0.45 and (regular or s["short_lines"] >= 0.9):
         return "list"
     if s["digit_ratio"] > 0.5 or (s["n_words"] >= 12 and s["common_words"] < 0.02 and s["punctuated_lines"] == 0 and s["implausible_words"] > 0.1):
         return "junk"
