@@ -44,6 +44,7 @@ SEEDS = {
 }
 
 _WORD = re.compile(r"[^\W\d_]+")
+_ANY_WORD = re.compile(r"[^\W_]+")
 _SEGMENT = re.compile(r"[^\n]+?(?:[.!?…]+(?=[\s\"'”’)\]]|$)|(?=\n)|$)", re.S)
 
 
@@ -214,7 +215,7 @@ def fit(docs: DataFrame, text_col: str = "body", label_col: str = "language", pe
     return train([r.text for r in sample], [r.label for r in sample])
 
 
-def _predict(model: LanguageModel, min_words: int):
+def _predict(model: LanguageModel, min_words: int, keep: tuple[str, ...]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo: dict = {}
         names = np.array(model.languages)
@@ -253,18 +254,22 @@ def _predict(model: LanguageModel, min_words: int):
                     s, e = cuts[k], cuts[k + 1]
                     rows.append([{"segment": int(spans[i][0]), "language": str(names[best[i]]) if sure[i] else "und", "confidence": float(conf[i]), "words": int(n[i])} for i in range(s, e)])
                 doc_lang = [str(names[b]) if m > 0 and c >= min(0.5, model.reject) else "und" for b, c, m in zip(doc_best, doc_conf, mass)]
-                yield pd.DataFrame({"id": part["id"].to_numpy(), "language": doc_lang, "confidence": doc_conf, "segments": rows})
+                size = [len(_ANY_WORD.findall(t)) if isinstance(t, str) else 0 for t in part["text"]]
+                kept = {f"label_{c}": part[f"label_{c}"].to_numpy() for c in keep}
+                yield pd.DataFrame({"id": part["id"].to_numpy(), "language": doc_lang, "confidence": doc_conf, "n_words": size, "segments": rows, **kept})
 
     return run
 
 
-SCHEMA = "id long, language string, confidence double, segments array<struct<segment:int,language:string,confidence:double,words:int>>"
+SCHEMA = "id long, language string, confidence double, n_words int, segments array<struct<segment:int,language:string,confidence:double,words:int>>"
 
 
-def document_languages(docs: DataFrame, model: LanguageModel, id_col: str = "document_id", text_col: str = "body", skip_col: str | None = None, min_words: int = 4) -> DataFrame:
-    """(id, language, confidence, segments). skip_col: numbers of lines, from 1, that have no say.
+def document_languages(docs: DataFrame, model: LanguageModel, id_col: str = "document_id", text_col: str = "body", skip_col: str | None = None, min_words: int = 4, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, language, confidence, n_words, segments, label_* of the kept columns). skip_col: numbers of lines, from 1, that have no say.
 
     segments has every sentence in order with its language (`und` under the rejection threshold or min_words words) and confidence.
     """
     skip = F.col(skip_col) if skip_col else F.lit(None).cast("array<int>")
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), skip.alias("skip")).mapInPandas(_predict(model, min_words), SCHEMA)
+    kept = [F.col(c).cast("string").alias(f"label_{c}") for c in keep]
+    schema = SCHEMA + "".join(f", label_{c} string" for c in keep)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), skip.alias("skip"), *kept).mapInPandas(_predict(model, min_words, keep), schema)

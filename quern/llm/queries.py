@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import boilerplate, forest, leakage, neardup, textstats, truncation
+from quern.llm import boilerplate, forest, langid, leakage, mixing, neardup, pii, textstats, truncation
 from quern.session import table
 
+#: Where the vocabulary files of public tokenizers lie; a parameter of the deployment.
+TOKENIZERS = os.environ.get("QUERN_TOKENIZERS", "/opt/tokenizers")
+
 
 def _first_published(text: str = "published_at", arrival: str = "ingested_at"):
     """The date a document was first published as far as its own text says so at the front; else the date it arrived."""
@@ -51,10 +55,55 @@ def p2_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy(F.col("source").alias("source_name"), F.col("field").alias("field_name")).agg(F.count(F.lit(1)).alias("n_values"), cut.alias("n_truncated"), F.count_if("marked").alias("n_marked"), (cut / F.count(F.lit(1))).alias("share"))
 
 
+def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the languages of their bodies. Lines that a site adds (in at least 4 of its rows and 3 of its texts) have no say."""
+    docs = table(spark, sf_dir, "raw_documents")
+    model = langid.fit(docs)
+    lines = boilerplate.repeated_lines(docs, 0.0, 4, 3, 1)
+    marked = boilerplate.with_line_numbers(docs.select("document_id", "source_name", "language", "body"), lines, "site_lines")
+    return langid.document_languages(marked, model, skip_col="site_lines", keep=("language",))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _languages(spark, sf_dir).filter(F.col("n_words") >= 6)
+    named = F.array_distinct(F.transform(F.filter("segments", lambda s: s["language"] != "und"), lambda s: s["language"]))
+    spoken = F.when(F.size(named) > 0, named).when(F.col("language") != "und", F.array("language")).otherwise(F.array())
+    rows = found.select(F.col("id").alias("document_id"), spoken.alias("spoken"), langid.normal_label(F.col("label_language")).alias("label"))
+    right = (F.size("spoken") == 1) & F.col("label").isNotNull() & (F.element_at("spoken", 1) == F.col("label"))
+    return rows.filter((F.size("spoken") > 0) & ~right).select("document_id", F.explode("spoken").alias("language"))
+
+
+def p3_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's language and confidence beside its label."""
+    found = _languages(spark, sf_dir)
+    return found.select(F.col("id").alias("document_id"), F.col("label_language").alias("label"), "language", "confidence", F.size("segments").alias("n_segments"))
+
+
+def p3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each differently written segment with its language and confidence."""
+    found = _languages(spark, sf_dir).select("id", F.explode("segments").alias("s"))
+    return found.select(F.col("id").alias("document_id"), F.col("s.segment").alias("segment_no"), F.col("s.language").alias("language"), F.col("s.confidence").alias("confidence"), F.col("s.words").alias("n_words"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.replay(table(spark, sf_dir, "raw_documents"), threshold=0.5, shingle=3, min_words=50)
 
 
+def _pii_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, str]]:
+    docs = table(spark, sf_dir, "raw_documents")
+    return docs, pii.name_roles(docs, table(spark, sf_dir, "name_list"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, roles = _pii_inputs(spark, sf_dir)
+    return pii.find_pii(docs, roles).select(F.col("id").alias("document_id"), F.col("field").alias("field_name"), "pii_type").distinct()
+
+
+def p5_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, roles = _pii_inputs(spark, sf_dir)
+    return pii.redact_pii(docs, roles)
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, sf_dir, "raw_documents"), threshold=0.5, shingle=3, min_words=50)
     return found.pairs().select(F.col("id_a").alias("document_id_a"), F.col("id_b").alias("document_id_b"))
@@ -79,6 +128,29 @@ def p8_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.without_leaks(docs, leakage.leaked_passages(docs, table(spark, sf_dir, "eval_items"))).select("doc_id", "source", "n_chars")
 
 
+def _mix(spark: SparkSession, sf_dir: str, share_of_corpus: float | None = None) -> mixing.Mix:
+    docs = table(spark, sf_dir, "documents")
+    catalog = table(spark, sf_dir, "source_catalog")
+    places = catalog.select(F.col("source_name").alias("source"), F.col("source_platform").alias("domain"), F.col("main_language").alias("language"))
+    tokens = mixing.counted(docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+    total = None if share_of_corpus is None else share_of_corpus * (tokens.agg(F.sum("tokens")).first()[0] or 0)
+    return mixing.mix_sources(tokens, table(spark, sf_dir, "mix_targets"), places, total)
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares reached at the largest total at which every source that has documents comes to its target."""
+    return _mix(spark, sf_dir).report
+
+
+def p9_shares_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares reached at a total of the whole corpus, where short sources hand their shortage on."""
+    return _mix(spark, sf_dir, 1.0).report
+
+
+def p9_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mix(spark, sf_dir).draw.withColumnRenamed("doc", "doc_id")
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return textstats.text_statistics(table(spark, sf_dir, "documents")).filter(~F.col("text_kind").isin("prose", "empty")).select("doc_id", "text_kind")
 
@@ -87,7 +159,7 @@ def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return textstats.text_statistics(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_lines": p1_lines, "p1_clean": p1_clean, "p2_found": p2_found, "p2_rates": p2_rates, "p4_found": p4_found, "p7_found": p7_found, "p7_groups": p7_groups, "p8_found": p8_found, "p8_passages": p8_passages, "p8_clean": p8_clean, "p10_found": p10_found, "p10_statistics": p10_statistics}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_lines": p1_lines, "p1_clean": p1_clean, "p2_found": p2_found, "p2_rates": p2_rates, "p3_found": p3_found, "p3_documents": p3_documents, "p3_segments": p3_segments, "p4_found": p4_found, "p5_found": p5_found, "p5_redacted": p5_redacted, "p7_found": p7_found, "p7_groups": p7_groups, "p8_found": p8_found, "p8_passages": p8_passages, "p8_clean": p8_clean, "p9_draw": p9_draw, "p9_shares": p9_shares, "p9_shares_full": p9_shares_full, "p10_found": p10_found, "p10_statistics": p10_statistics}
 
 _LINES = r"""
 lines AS (
