@@ -210,7 +210,7 @@ def labelled_sample(docs: DataFrame, text_col: str, label: Column, per_language:
     return rows.filter(keep).limit(int(1.1 * per_language * len(counts)) + 100).collect()
 
 
-def fit(docs: DataFrame, text_col: str = "body", label_col: str = "language", per_language: int = 500) -> LanguageModel:
+def fit(docs: DataFrame, text_col: str = "body", label_col: str = "language", per_language: int = 300) -> LanguageModel:
     sample = labelled_sample(docs, text_col, normal_label(F.col(label_col)), per_language)
     return train([r.text for r in sample], [r.label for r in sample])
 

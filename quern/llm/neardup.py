@@ -200,22 +200,22 @@ class NearDuplicates:
 
 
 def components(edges: DataFrame, labels: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """Connected components by hash-to-min with pointer jumping: (u, label), label the smallest label of the component.
+    """Connected components by hooking and pointer jumping: (u, label), label the smallest label of the component.
 
-    edges (u, v) hold both directions. Each round takes the least label among the neighbours and then follows the label's own
-    label, so long chains take a logarithmic number of rounds. State lives in tables of the shared folder; only the number of
-    changed labels comes to the driver.
+    edges (u, v) hold both directions; labels (u, label) are unique. Where an edge joins two labels, the text that owns the larger one takes
+    on the smaller; then every text follows its label's owner. Long chains take a logarithmic number of rounds. State lives in tables of
+    the shared folder; only whether a label changed comes to the driver.
     """
     touched = edges.select("u").distinct()
     alone = labels.join(touched, "u", "left_anti")
     edges = materialize(edges, "edges")
-    state = materialize(labels.join(touched, "u", "left_semi").select("u", "label", F.col("label").alias("self")), "labels")
+    state = materialize(labels.join(touched, "u", "left_semi").select("u", "label", F.col("label").alias("own")), "labels")
     for _ in range(most_rounds):
-        near = edges.join(state.select(F.col("u").alias("v"), F.col("label").alias("near")), "v").groupBy("u").agg(F.min("near").alias("near"))
-        step = state.join(near, "u", "left").select("u", "self", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label"))
-        # Pointer jumping: a label is the id of some text's first document; take on what that text points to.
-        jump = step.select(F.col("self").alias("label"), F.col("label").alias("further"))
-        new = materialize(step.join(jump, "label", "left").select("u", "self", "old", F.least("label", F.coalesce("further", "label")).alias("label")), "labels")
+        at = edges.join(state.select("u", F.col("label").alias("lu")), "u").join(state.select(F.col("u").alias("v"), F.col("label").alias("lv")), "v")
+        hook = at.filter(F.col("lv") < F.col("lu")).groupBy(F.col("lu").alias("own")).agg(F.min("lv").alias("less"))
+        hooked = materialize(state.join(hook, "own", "left").select("u", "own", F.col("label").alias("old"), F.least("label", F.coalesce("less", "label")).alias("label")), "hooked")
+        owner = hooked.select(F.col("own").alias("label"), F.col("label").alias("further"))
+        new = materialize(hooked.join(owner, "label", "left").select("u", "own", "old", F.least("label", F.coalesce("further", "label")).alias("label")), "labels")
         if new.filter(F.col("label") < F.col("old")).limit(1).count() == 0:
             return alone.select("u", "label").unionByName(new.select("u", "label"))
         state = new.drop("old")

@@ -113,13 +113,14 @@ def kind(s: dict[str, float]) -> str:
     """prose, list, table, junk or empty, decided on the statistics of measure()."""
     if not s["n_words"]:
         return "junk" if s["symbol_ratio"] > 0 else "empty"
-    if s["symbol_ratio"] > 0.55 or s["markup_ratio"] > 0.25 or s["broken_ratio"] > 0.25:
+    aligned = s["n_lines"] >= 3 and max(s["cell_alignment"], s["column_alignment"]) >= 0.7
+    if (s["symbol_ratio"] > 0.55 and not aligned) or s["markup_ratio"] > 0.25 or s["broken_ratio"] > 0.25:
         return "junk"
     if s["n_words"] >= 8 and (s["top_word"] > 0.45 or s["distinct_words"] < 0.08):
         return "junk"
     if s["implausible_words"] > 0.4 or (s["implausible_words"] > 0.25 and s["common_words"] < 0.12):
         return "junk"
-    if s["n_lines"] >= 3 and s["common_words"] < 0.15 and max(s["cell_alignment"], s["column_alignment"]) >= 0.7 and s["mean_line_words"] >= 2:
+    if aligned and s["common_words"] < 0.3 and s["n_words"] > s["n_lines"]:
         return "table"
     # Items: most lines short and without an end mark; bullets, a recurring indent or unrelated line lengths strengthen the case.
     regular = s["bullet_lines"] >= 0.6 or s["indent_period"] >= 0.9 or s["length_autocorrelation"] < 0.6
