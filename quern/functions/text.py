@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
@@ -15,6 +17,11 @@ GOOD_EMOJI, BAD_EMOJI = "👍🙏😀😍❤", "😡😠👎😢💔"
 CONJUNCTIONS = ("tapi", "namun", "sedangkan", "padahal", "walaupun", "meskipun", "karena", "soalnya", "but", "however", "although", "because", "while", "whereas")
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value computed once: inside a lambda an outer expression would be computed again for every element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def tokens(text: Column) -> Column:
     """Runs of ASCII letters, digits and apostrophes of the lower-cased text; empty array for null."""
     return F.coalesce(F.regexp_extract_all(F.lower(text), F.lit(r"[a-z0-9']+"), F.lit(0)), F.array().cast("array<string>"))
@@ -23,13 +30,13 @@ def tokens(text: Column) -> Column:
 def sentences(text: Column) -> Column:
     """Pieces after closing marks and at line breaks, trimmed, blanks left out."""
     parts = F.split(F.coalesce(text, F.lit("")), r"(?<=[.!?])\s+|\n+")
-    return F.filter(F.transform(parts, F.trim), lambda s: s != "")
+    return F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: s != "")
 
 
 def clauses(text: Column, least: int = 3, conjunctions: tuple[str, ...] = CONJUNCTIONS) -> Column:
     """Pieces at commas, semicolons and conjunctions, of at least `least` characters."""
     parts = F.split(F.coalesce(text, F.lit("")), r"(?i)[,;]|\b(?:" + "|".join(conjunctions) + r")\b")
-    return F.filter(F.transform(parts, F.trim), lambda s: F.length(s) >= least)
+    return F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: F.length(s) >= least)
 
 
 def emoji_balance(text: Column) -> Column:
@@ -41,12 +48,15 @@ def emoji_balance(text: Column) -> Column:
 def chunks(text: Column, size: int = 180, overlap: int = 40, most: int | None = None, least_tail: int = 20) -> Column:
     """Windows of `size` words that overlap; a last window of fewer than least_tail words is dropped unless it is the only one."""
     step = size - overlap
-    words = F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w != "")
-    n = F.size(words)
-    starts = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(step)), lambda s: (n > 0) & ((s == 0) | (n - s >= least_tail)))
-    if most is not None:
-        starts = F.slice(starts, 1, most)
-    return F.transform(starts, lambda s: F.array_join(F.slice(words, s + 1, size), " "))
+
+    def windows(words: Column) -> Column:
+        n = F.size(words)
+        starts = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(step)), lambda s: (n > 0) & ((s == 0) | (n - s >= least_tail)))
+        if most is not None:
+            starts = F.slice(starts, 1, most)
+        return F.transform(starts, lambda s: F.array_join(F.slice(words, s + 1, size), " "))
+
+    return bind(F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w != ""), windows)
 
 
 def content_hash(*parts: Column) -> Column:
@@ -55,31 +65,27 @@ def content_hash(*parts: Column) -> Column:
     return F.sha2(F.concat_ws("\u001f", *norm), 256)
 
 
-def shingle_hashes(text: Column, width: int = 3) -> Column:
-    t = tokens(text)
-    runs = F.when(F.size(t) >= width, F.transform(F.sequence(F.lit(1), F.size(t) - width + 1), lambda i: F.array_join(F.slice(t, i, width), " "))).when(F.size(t) > 0, F.array(F.array_join(t, " "))).otherwise(F.array().cast("array<string>"))
-    return F.transform(runs, lambda s: F.conv(F.right(F.md5(s), F.lit(16)), 16, -10).cast("bigint"))
-
-
 def simhash(text: Column, width: int = 3) -> Column:
     """64-bit SimHash over runs of `width` tokens; a bit is set where more runs have it than not; 0 without tokens.
 
-    Runs and their hashes are JVM expressions. The 64 votes a text are one numpy sum: as higher-order functions they would be
-    interpreted, 64 steps for every run.
+    Tokens are a JVM expression. The hashes and the 64 votes of a text are one numpy sum an Arrow row: as higher-order functions they
+    would be interpreted, 64 steps for every run.
     """
 
     @F.pandas_udf("bigint")
     def votes(s: pd.Series) -> pd.Series:
-        def one(h) -> int:
-            if h is None or len(h) == 0:
+        def one(t) -> int:
+            if t is None or len(t) == 0:
                 return 0
-            bits = np.unpackbits(np.asarray(h, dtype="<i8").view(np.uint8).reshape(len(h), 8), axis=1, bitorder="little")
-            won = np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(h), bitorder="little")
-            return int(won.view("<i8")[0])
+            runs = [" ".join(t[i : i + width]) for i in range(max(1, len(t) - width + 1))]
+            low = b"".join(hashlib.md5(r.encode(), usedforsecurity=False).digest()[8:] for r in runs)
+            bits = np.unpackbits(np.frombuffer(low, dtype=np.uint8).reshape(len(runs), 8), axis=1)
+            won = np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(runs))
+            return int(won.view(">i8")[0])
 
         return s.map(one)
 
-    return votes(shingle_hashes(text, width))
+    return votes(tokens(text))
 
 
 def hamming(a: Column, b: Column) -> Column:

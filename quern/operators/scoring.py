@@ -62,9 +62,9 @@ def blend(docs: DataFrame, w: Weights = Weights()) -> DataFrame:
     n = F.size("__s")
     out = out.withColumn("__total", total).withColumn("__n", n)
     score = F.aggregate("__s", F.lit(0.0), lambda a, s: a + F.round(s["score"] * s["weight"] / F.col("__total"), 4))
-    mean = F.aggregate("__s", F.lit(0.0), lambda a, s: a + s["score"]) / F.col("__n")
+    mean = F.try_divide(F.aggregate("__s", F.lit(0.0), lambda a, s: a + s["score"]), F.col("__n"))
     out = out.withColumn("blended_score", F.when(F.col("__n") == 0, 0.0).otherwise(F.round(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), score)), 4))).withColumn("__mean", mean)
-    spread = F.sqrt(F.aggregate("__s", F.lit(0.0), lambda a, s: a + (s["score"] - F.col("__mean")) * (s["score"] - F.col("__mean"))) / F.col("__n"))
+    spread = F.sqrt(F.try_divide(F.aggregate("__s", F.lit(0.0), lambda a, s: a + (s["score"] - F.col("__mean")) * (s["score"] - F.col("__mean"))), F.col("__n")))
     agreement = F.when(F.col("__n") < 2, 0.6).otherwise(F.round(1 - F.least(spread, F.lit(1.0)), 4))
     length = F.least(F.col("n_words") / 40.0, F.lit(1.0)) * 0.5
     evidence = length + F.when(F.col("s_transformer").isNotNull(), (1 - F.coalesce("entropy", F.lit(0.0))) * 0.5).otherwise(0.0)
