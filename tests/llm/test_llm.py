@@ -16,7 +16,7 @@ from quern.llm.words import WordHashes, shingles, word_hashes
 from tests.compare import agree
 
 R = random.Random(7)
-VOCAB = [f"w{i}" for i in range(3000)]
+VOCAB = ["".join(chr(97 + (i // 26**k) % 26) for k in range(4)) for i in range(7, 200_000, 61)]
 
 
 def text(n, rng=R):
