@@ -5,12 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _LOCAL_SHARED: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "quern") -> SparkSession:
@@ -59,3 +62,29 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int, limit_bytes: int = 32 << 20) -> DataFrame:
     """A broadcast hint where rows * row_bytes is within limit_bytes; else df as it is, for a shuffled join."""
     return F.broadcast(df) if rows * row_bytes <= limit_bytes else df
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application: Python workers need not have it installed or on their path."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="quern-code-"), "quern-package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*")):
+            if f.suffix in (".py", ".json"):
+                z.write(f, Path("quern") / f.relative_to(root))
+    spark.sparkContext.addPyFile(archive)  # Spark's own file server carries it to every node
+    _SHIPPED.add(app)
+
+
+def clear_shared(spark: SparkSession) -> int:
+    """Remove the tables that this package wrote to the shared folder; frames that read them can't be used afterwards. Returns their number."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "quern-*")) or []]
+    for path in found:
+        fs.delete(path, True)
+    return len(found)

@@ -223,3 +223,12 @@ def test_stream_upsert_and_late_repeats(spark, tmp_path):
     q = intake.upsert_stream(intake.read_files(spark, src), str(tmp_path / "out"), str(tmp_path / "ck"), ["k"], ["v"])
     q.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out" / "v0")).count() == 2
+
+
+def test_package_is_shipped_once_and_shared_tables_can_be_cleared(spark):
+    from quern.session import clear_shared, materialize, ship
+
+    ship(spark)
+    ship(spark)
+    df = materialize(spark.range(3), "t")
+    assert df.count() == 3 and clear_shared(spark) >= 1
