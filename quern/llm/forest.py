@@ -90,7 +90,7 @@ def replay(
     """(id,) of the rows that repeat something of an earlier day: same uid, same hash in any letter case, or a similar text."""
     depth = min(7, widened_depth(threshold, target, hits))
     base = docs.select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.unix_date(F.to_date(F.col(arrival_col))).alias("day"),
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.floor(F.unix_micros(F.col(arrival_col)) / 86_400_000_000).cast("int").alias("day"),
         F.col(uid_col).alias("uid"), F.lower(F.col(hash_col)).alias("hash"),
     ).filter(F.col("day").isNotNull())
     sketch = materialize(

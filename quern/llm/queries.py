@@ -56,10 +56,10 @@ def p2_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with the languages of their bodies. Lines that a site adds (in at least 4 of its rows and 3 of its texts) have no say."""
+    """Documents with the languages of their bodies. Lines that a site adds (in at least 0.2% of its rows, 5 rows and 5 texts) have no say."""
     docs = table(spark, sf_dir, "raw_documents")
     model = langid.fit(docs)
-    lines = boilerplate.repeated_lines(docs, 0.0, 4, 3, 1)
+    lines = boilerplate.repeated_lines(docs, 0.002, 5, 5, 1)
     marked = boilerplate.with_line_numbers(docs.select("document_id", "source_name", "language", "body"), lines, "site_lines")
     return langid.document_languages(marked, model, skip_col="site_lines", keep=("language",))
 
