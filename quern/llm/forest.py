@@ -8,7 +8,9 @@ trees is verified by exact Jaccard similarity.
 
 `Forest` keeps the runs in a folder: `append` sketches the new rows and writes one sorted run, `check` sketches the new rows
 and joins them to the stored keys (old texts are neither read as text nor sketched again), `merge` rewrites all runs as one.
-`replay` gives what checking day after day would have given, for all days of a table in one plan.
+`replay` gives what checking day after day would have given, for all days of a table in one plan. It needs one earlier neighbour a text, not all
+of them: texts are first held against the earliest text of each of their ranges, so that a family of edited copies, however large, is mostly
+settled without pairing its members; what isn't settled is searched for in full.
 
 Defined results: a row without text, or with fewer than min_words words, can only match by uid; null and blank uids and
 hashes match nothing; repeated rows of one batch do not match each other; an empty batch or an empty history gives no rows.
@@ -27,11 +29,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.neardup import circulant_table, meeting_pairs, signatures, sketcher, verified
+from quern.llm.neardup import circulant_table, signatures, sketcher, verified_ids
 from quern.llm.words import WordHashes, shingles, word_hashes
 from quern.session import broadcast_if_small, materialize
 
 TREES, STRIDE, DEPTH = 64, 4, 8
+STAR_TREES = 8
 
 
 def recall(similarity: float, depth: int, hits: int) -> float:
@@ -96,12 +99,26 @@ def replay(
     sketch = materialize(
         base.mapInPandas(sketcher(None, shingle, min_words, lambda sets: prefix_keys(full_keys(sets), depth)), "id long, n_words int, text_key long, keys array<long>, day int, uid string, hash string"), "forest"
     )
-    texts = sketch.filter(F.col("text_key").isNotNull()).groupBy("text_key").agg(F.first("keys").alias("keys"))
-    links = materialize(verified(meeting_pairs(texts, hits), sketch, base.select("id", "text"), shingle, threshold), "links")
-    both = links.select(F.col("ta").alias("text_key"), F.col("tb").alias("near")).unionByName(links.select(F.col("tb").alias("text_key"), F.col("ta").alias("near")))
-    first = sketch.filter(F.col("text_key").isNotNull()).groupBy(F.col("text_key").alias("near")).agg(F.min("day").alias("first"))
-    near = both.join(first, "near").groupBy("text_key").agg(F.min("first").alias("first"))
-    similar = sketch.select("id", "day", "text_key").join(near, "text_key").filter(F.col("day") > F.col("first")).select("id")
+    # A text is known by its earliest row from here on; only that row's keys are used.
+    groups = materialize(sketch.filter(F.col("text_key").isNotNull()).groupBy("text_key").agg(F.min(F.struct("day", "id")).alias("f")).select("text_key", F.col("f.id").alias("id"), F.col("f.day").alias("first")), "texts")
+    texts = sketch.select("id", "text_key", "keys").join(broadcast_if_small(groups, groups.count(), 48), ["id", "text_key"]).select("id", "first", "keys")
+    bodies = base.select("id", "text")
+
+    def entries(rows: DataFrame, trees: int = TREES) -> DataFrame:
+        return rows.select(F.explode(F.slice("keys", 1, trees)).alias("key"), "id", "first")
+
+    # First every text against the earliest text of its ranges in a few trees: one candidate a range, however many texts are in it.
+    some = entries(texts, STAR_TREES)
+    heads = some.groupBy("key").agg(F.min(F.struct("first", "id")).alias("h"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", F.col("h.id").alias("ta"), F.col("h.first").alias("fa"))
+    star = some.join(heads, "key").filter(F.col("fa") < F.col("first")).select("ta", F.col("id").alias("tb")).distinct()
+    settled = materialize(verified_ids(star, bodies, shingle, threshold).select(F.col("tb").alias("id")).distinct(), "settled")
+    # A settled text has an earlier neighbour, so all of its rows are found; the others are searched for in all trees among all earlier texts.
+    left = entries(texts.join(broadcast_if_small(settled, settled.count(), 16), "id", "left_anti")).select("key", F.col("id").alias("tb"), F.col("first").alias("fb"))
+    right = entries(texts).select("key", F.col("id").alias("ta"), F.col("first").alias("fa"))
+    met = right.join(left, "key").filter(F.col("fa") < F.col("fb")).groupBy("ta", "tb").agg(F.count(F.lit(1)).alias("met")).filter(F.col("met") >= hits).select("ta", "tb")
+    linked = settled.unionByName(verified_ids(met, bodies, shingle, threshold).select(F.col("tb").alias("id"))).distinct()
+    repeats = groups.join(linked, "id").select("text_key")
+    similar = sketch.select("id", "text_key").join(repeats, "text_key").select("id")
     long_text = F.col("n_words") >= min_words
     found = _days_before(sketch, "uid", F.trim("uid") != "").unionByName(_days_before(sketch, "hash", long_text & (F.trim("hash") != ""))).unionByName(_days_before(sketch, "text_key", F.col("text_key").isNotNull())).unionByName(similar)
     return found.distinct().select(F.col("id").alias(id_col))

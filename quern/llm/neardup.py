@@ -172,6 +172,15 @@ def verified(pairs: DataFrame, sketch: DataFrame, texts: DataFrame, shingle: int
     return scored.filter(F.col("similarity") >= threshold)
 
 
+def verified_ids(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """(ta, tb) of the pairs of ids whose texts are at least `threshold` similar. texts: (id, text); only texts of pairs move."""
+    pairs = materialize(pairs, "pairs")
+    ids = materialize(pairs.select(F.explode(F.array("ta", "tb")).alias("id")).distinct(), "chosen")
+    body = texts.join(broadcast_if_small(ids, ids.count(), 16), "id")
+    a, b = body.select(F.col("id").alias("ta"), F.col("text").alias("xa")), body.select(F.col("id").alias("tb"), F.col("text").alias("xb"))
+    return pairs.join(a, "ta").join(b, "tb").filter(_jaccard(shingle)("xa", "xb") >= threshold).select("ta", "tb")
+
+
 @dataclass
 class NearDuplicates:
     """members: (id, text_key); links: (ta, tb, similarity) between different texts."""
