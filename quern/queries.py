@@ -508,6 +508,25 @@ def src_month_windows(spark, d):
     return connectors.month_windows(spark, dt.date(2024, 9, 2), DEFAULT.as_of)
 
 
+@query("src_window", f"SELECT document_id FROM raw_documents WHERE ingested_at >= CAST({AS_OF} AS TIMESTAMPTZ) - INTERVAL 168 HOUR AND ingested_at < CAST({AS_OF} AS TIMESTAMPTZ)")
+def src_window(spark, d):
+    return connectors.load_window(table(spark, d, "raw_documents"), DEFAULT.as_of, 168).select("document_id")
+
+
+@query("src_latest_runs", """SELECT run_id, status, fetched_count, inserted_count, finished_micros FROM (SELECT run_id, status, fetched_count, inserted_count, epoch_us(finished_at) AS finished_micros,
+row_number() OVER (PARTITION BY run_id ORDER BY finished_at IS NOT NULL DESC, finished_at DESC, status DESC NULLS LAST, fetched_count DESC NULLS LAST, inserted_count DESC NULLS LAST) AS rn FROM ingestion_runs) WHERE rn = 1""")
+def src_latest_runs(spark, d):
+    runs = connectors.latest_records(table(spark, d, "ingestion_runs").select("run_id", "status", "fetched_count", "inserted_count", "finished_at"))
+    return runs.select("run_id", "status", "fetched_count", "inserted_count", F.unix_micros("finished_at").alias("finished_micros"))
+
+
+@query("src_occupancy", f"SELECT count(*) AS documents, count(*) FILTER (WHERE ingested_at >= CAST({AS_OF} AS TIMESTAMPTZ) - INTERVAL 12 HOUR) AS fresh FROM raw_documents")
+def src_occupancy(spark, d):
+    """How many documents there are, and how many came in the last twelve hours."""
+    late = F.col("ingested_at") >= F.lit(DEFAULT.as_of).cast("timestamp") - F.make_interval(hours=F.lit(12))
+    return table(spark, d, "raw_documents").agg(F.count(F.lit(1)).alias("documents"), F.count(F.when(late, 1)).alias("fresh"))
+
+
 @query("src_synthetic")
 def src_synthetic(spark, d):
     return connectors.synthetic_documents(spark, 2400)

@@ -164,3 +164,45 @@ def synthetic_documents(spark: SparkSession, n: int, seed: int = 1, days: int =
         F.col("id").alias("document_id"), pick(2, platforms).alias("source_platform"), F.concat(F.lit("The counter is "), mood, F.lit(" today.")).alias("body"),
         F.date_sub(F.lit(as_of), (F.pow(u(4), F.lit(2.0)) * days).cast("int")).alias("published_on"), F.to_json(F.struct(F.lit(True).alias("is_synthetic"), polarity.alias("intended_polarity"))).alias("raw_payload"),
     )
+
+
+def search_plan(channels: DataFrame, terms: DataFrame) -> DataFrame:
+    """Every channel with every search term; both are short stated lists, so one is broadcast."""
+    return channels.crossJoin(F.broadcast(terms))
+
+
+def with_titles(rows: DataFrame, titles: DataFrame, key: str) -> DataFrame:
+    """Titles looked up by key; rows without one keep a null title."""
+    return rows.join(titles.groupBy(key).agg(F.max("title").alias("title")), key, "left")
+
+
+def clamp_window(since: Column, now: Column, days: int = 7, margin_minutes: int = 5) -> Column:
+    """The start of a search that reaches back no more than `days`, less a margin for the clocks."""
+    return F.greatest(since, now - F.make_interval(days=F.lit(days)) + F.make_interval(mins=F.lit(margin_minutes)))
+
+
+def parse_instant(value: Column) -> Column:
+    """Seconds since the epoch or ISO text as an instant; null for anything else."""
+    number = value.try_cast("double")
+    return F.when(number.isNotNull(), F.timestamp_micros((number * 1_000_000).cast("bigint"))).otherwise(F.try_to_timestamp(value))
+
+
+def json_ld_reviews(pages: DataFrame, key: str, json_col: str) -> DataFrame:
+    """Reviews in the JSON-LD of pages: (key, author, rating, body, published). Broken JSON gives none."""
+    schema = "review array<struct<author:struct<name:string>,reviewRating:struct<ratingValue:string>,reviewBody:string,datePublished:string>>"
+    rows = pages.select(key, F.explode(F.from_json(json_col, schema)["review"]).alias("r"))
+    return rows.select(key, F.col("r.author.name").alias("author"), F.col("r.reviewRating.ratingValue").try_cast("double").alias("rating"), F.col("r.reviewBody").alias("body"), F.col("r.datePublished").alias("published"))
+
+
+def load_window(docs: DataFrame, as_of: dt.date, hours: int, column: str = "ingested_at") -> DataFrame:
+    """Rows of the last `hours` hours before as_of; the filter reaches the Parquet scan."""
+    end = dt.datetime(as_of.year, as_of.month, as_of.day, tzinfo=dt.UTC)
+    return docs.filter((F.col(column) >= F.lit(end - dt.timedelta(hours=hours))) & (F.col(column) < F.lit(end)))
+
+
+def latest_records(runs: DataFrame, key: str = "run_id") -> DataFrame:
+    """One row a run: the record that closed last, an open one only where none is closed. Ties go to the greatest row."""
+    rest = [c for c in runs.columns if c != key]
+    plain = [c for c in rest if c != "finished_at"]
+    best = F.max(F.struct(F.col("finished_at").isNotNull().alias("closed"), F.col("finished_at"), *plain)).alias("b")
+    return runs.groupBy(key).agg(best).select(key, *[F.col(f"b.{c}").alias(c) for c in rest])
