@@ -77,6 +77,16 @@ def _autocorrelation(x: np.ndarray) -> float:
     return float(1 - (np.diff(x) ** 2).mean() / (2 * max(x.var(), (0.15 * x.mean()) ** 2, 1e-9)))
 
 
+def _implausible(word: str) -> bool:
+    """Too long, letters without a vowel or with five consonants in a row, or letters and digits mixed."""
+    n = len(word)
+    if n < 4:
+        return False
+    if n > 24 or (n >= 6 and not word.isalpha() and not word.isdigit()):
+        return True
+    return word.isascii() and word.isalpha() and (not _VOWEL.search(word) or _CONSONANTS.search(word) is not None)
+
+
 def measure(text: str | None) -> dict[str, float]:
     if not isinstance(text, str) or not text.strip():
         return dict.fromkeys(FIELDS, 0.0) | {"n_chars": float(len(text or ""))}
@@ -84,25 +94,25 @@ def measure(text: str | None) -> dict[str, float]:
     lower = text.lower()
     words = _WORD.findall(lower)
     letters = sum(map(len, words))
-    solid = len(text) - sum(map(str.isspace, text))
-    alpha = [w for w in words if not any(map(str.isdigit, w))]
+    solid = sum(map(len, text.split()))
     counts = Counter(words)
     n = max(1, len(words))
     line_words = np.array([len(_WORD.findall(x)) for x in lines], dtype=float)
     bullets = np.array([bool(_BULLET.match(x)) for x in lines])
     short = np.array([k <= 6 and not x.rstrip().endswith(_ENDS[:3]) for k, x in zip(line_words, lines)])
     indents = np.array([len(x) - len(x.lstrip()) > 0 for x in lines])
-    odd = sum(1 for w in words if len(w) > 24 or (len(w) >= 4 and w.isascii() and w.isalpha() and (not _VOWEL.search(w) or _CONSONANTS.search(w))) or (len(w) >= 6 and not w.isalpha() and not w.isdigit()))
-    digits = sum(len(w) for w in words if w.isdigit())
+    odd = sum(c for w, c in counts.items() if _implausible(w))
+    digits = sum(c * len(w) for w, c in counts.items() if w.isdigit())
+    # Markup and damage need one of these characters, so most prose is not searched for them.
+    markup = sum(len(m.group()) for m in _MARKUP.finditer(text)) if any(x in text for x in ("<", "&", "{", ";", "0x", "\\")) else 0
+    broken = len(_BROKEN.findall(text)) if not text.isascii() else 0
     return {
         "n_chars": float(len(text)), "n_words": float(len(words)), "n_lines": float(len(lines)),
         "mean_word_length": letters / n, "mean_line_words": float(line_words.mean()),
         "symbol_ratio": (solid - letters) / max(1, solid), "digit_ratio": digits / max(1, solid),
         "punctuated_lines": sum(x.rstrip().endswith(_ENDS) for x in lines) / len(lines),
-        "common_words": sum(w in COMMON_WORDS for w in words) / n, "distinct_words": len(counts) / n, "top_word": (counts.most_common(1)[0][1] / n) if words else 0.0,
-        "implausible_words": odd / n if alpha or odd else 0.0,
-        "markup_ratio": sum(len(m.group()) for m in _MARKUP.finditer(text)) / max(1, len(text)),
-        "broken_ratio": len(_BROKEN.findall(text)) / max(1, len(words)),
+        "common_words": sum(c for w, c in counts.items() if w in COMMON_WORDS) / n, "distinct_words": len(counts) / n, "top_word": (counts.most_common(1)[0][1] / n) if words else 0.0,
+        "implausible_words": odd / n, "markup_ratio": markup / max(1, len(text)), "broken_ratio": broken / n,
         "cell_alignment": _cells(lines) if len(lines) > 1 else 0.0, "column_alignment": _columns(lines) if len(lines) > 1 else 0.0,
         "bullet_lines": float(bullets.mean()), "short_lines": float(short.mean()),
         "indent_period": max(_period(indents), _period(bullets)), "length_autocorrelation": _autocorrelation(np.array([len(x) for x in lines], dtype=float)),
