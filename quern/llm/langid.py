@@ -149,7 +149,7 @@ def _sgd(docs: list[np.ndarray], y: np.ndarray, order: np.ndarray, subs: list[np
     return table @ weights, bias
 
 
-def train(texts: list[str], labels: list[str], seed: int = 1, epochs: int = 5, rate: float = 0.6, batch: int = 64, target_precision: float = 0.999) -> LanguageModel:
+def train(texts: list[str], labels: list[str], seed: int = 1, epochs: int = 4, rate: float = 1.2, batch: int | None = None, target_precision: float = 0.999) -> LanguageModel:
     """Two rounds of SGD over segments: the second leaves out segments that the first reads as another language than their
     document's label says (labels are noisy and documents mixed). Every tenth segment is held out for the calibration."""
     rng = np.random.default_rng(seed)
@@ -169,6 +169,8 @@ def train(texts: list[str], labels: list[str], seed: int = 1, epochs: int = 5, r
     docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in s]) for s in segs]
     subs = [np.array(subwords(w)) for w in vocabulary]
     held = rng.random(len(docs)) < 0.1
+    if batch is None:  # small samples need as many steps as large ones
+        batch = min(256, max(16, len(docs) // 40))
     table, bias = _sgd(docs, y, np.flatnonzero(~held), subs, rng, epochs, rate, batch)
     first = LanguageModel(table, bias, (1.0, 0.0), 0.5)
     agrees = _segment_logits(first, segs, {}).argmax(axis=1) == y
