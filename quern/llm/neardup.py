@@ -246,3 +246,50 @@ def near_duplicates(
     sketch = materialize(texts.mapInPandas(sketcher(bands, shingle, min_words), SKETCH), "sketch")
     links = materialize(verified(meeting_pairs(distinct_texts(sketch), bands.hits), sketch, texts, shingle, threshold), "links")
     return NearDuplicates(sketch.select("id", "text_key"), links)
+
+
+#: Bands in which a text is first held against the smallest text of its bucket only.
+STAR_BANDS = 8
+
+
+def near_duplicate_groups(
+    docs: DataFrame,
+    id_col: str = "document_id",
+    text_col: str = "body",
+    threshold: float = 0.8,
+    shingle: int = 5,
+    min_words: int = 5,
+    bands: Bands | None = None,
+) -> DataFrame:
+    """(id, group): the groups of NearDuplicates.groups() without forming every link, for where only the groups are wanted.
+
+    First every text meets the smallest text of its buckets in a few bands, one candidate a bucket; the verified links give first groups.
+    After that only texts of different first groups have to meet: buckets that one group fills are passed over, and in the others groups
+    are paired before their members. A family of m edited copies costs about m links, not m * m.
+    """
+    bands = bands or choose_bands(threshold)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    sketch = materialize(texts.mapInPandas(sketcher(bands, shingle, min_words), SKETCH), "sketch")
+    reps = materialize(sketch.filter(F.col("text_key").isNotNull()).groupBy("text_key").agg(F.min("id").alias("id")), "reps")
+    keys = sketch.select("id", "text_key", "keys").join(broadcast_if_small(reps, reps.count(), 40), ["id", "text_key"]).select("id", "keys").dropDuplicates(["id"])
+
+    some = keys.select(F.explode(F.slice("keys", 1, STAR_BANDS)).alias("key"), "id")
+    heads = some.groupBy("key").agg(F.min("id").alias("ta"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "ta")
+    star = some.join(heads, "key").filter(F.col("id") != F.col("ta")).select("ta", F.col("id").alias("tb")).distinct()
+    first = materialize(verified_ids(star, texts, shingle, threshold), "links")
+
+    nodes = reps.select(F.col("id").alias("u"), F.col("id").alias("label"))
+    both = lambda e: e.select(F.col("ta").alias("u"), F.col("tb").alias("v")).unionByName(e.select(F.col("tb").alias("u"), F.col("ta").alias("v")))
+    group = materialize(components(both(first), nodes).select(F.col("u").alias("id"), F.col("label").alias("g")), "groups")
+
+    entries = materialize(keys.join(group, "id").select(F.explode("keys").alias("key"), "id", "g"), "entries")
+    open_ = entries.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo < hi").select("key")
+    live = materialize(entries.join(open_, "key", "left_semi"), "entries")
+    present = live.select("key", "g").distinct()
+    meet = present.withColumnRenamed("g", "ga").join(present.withColumnRenamed("g", "gb"), "key").filter(F.col("ga") < F.col("gb"))
+    a, b = live.select("key", F.col("g").alias("ga"), F.col("id").alias("ta")), live.select("key", F.col("g").alias("gb"), F.col("id").alias("tb"))
+    met = meet.join(a, ["key", "ga"]).join(b, ["key", "gb"]).groupBy("ta", "tb").agg(F.count(F.lit(1)).alias("met")).filter(F.col("met") >= bands.hits).select("ta", "tb")
+    links = first.unionByName(verified_ids(met, texts, shingle, threshold))
+    final = components(both(links), nodes).select(F.col("u").alias("rep"), F.col("label").alias("group"))
+    per_text = reps.select("text_key", F.col("id").alias("rep")).join(final, "rep").select("text_key", "group")
+    return sketch.select("id", "text_key").join(per_text, "text_key", "left").select("id", "group")

@@ -110,6 +110,12 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document with its group; null where the text is too short to take part."""
+    found = neardup.near_duplicate_groups(table(spark, sf_dir, "raw_documents"))
+    return found.select(F.col("id").alias("document_id"), "group")
+
+
+def p7_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document with its group and the number of different texts that its own is linked to."""
     found = neardup.near_duplicates(table(spark, sf_dir, "raw_documents"))
     return found.groups().select(F.col("id").alias("document_id"), "group", "links")
@@ -159,7 +165,7 @@ def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return textstats.text_statistics(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_lines": p1_lines, "p1_clean": p1_clean, "p2_found": p2_found, "p2_rates": p2_rates, "p3_found": p3_found, "p3_documents": p3_documents, "p3_segments": p3_segments, "p4_found": p4_found, "p5_found": p5_found, "p5_redacted": p5_redacted, "p7_found": p7_found, "p7_groups": p7_groups, "p8_found": p8_found, "p8_passages": p8_passages, "p8_clean": p8_clean, "p9_draw": p9_draw, "p9_shares": p9_shares, "p9_shares_full": p9_shares_full, "p10_found": p10_found, "p10_statistics": p10_statistics}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_lines": p1_lines, "p1_clean": p1_clean, "p2_found": p2_found, "p2_rates": p2_rates, "p3_found": p3_found, "p3_documents": p3_documents, "p3_segments": p3_segments, "p4_found": p4_found, "p5_found": p5_found, "p5_redacted": p5_redacted, "p7_found": p7_found, "p7_groups": p7_groups, "p7_links": p7_links, "p8_found": p8_found, "p8_passages": p8_passages, "p8_clean": p8_clean, "p9_draw": p9_draw, "p9_shares": p9_shares, "p9_shares_full": p9_shares_full, "p10_found": p10_found, "p10_statistics": p10_statistics}
 
 _LINES = r"""
 lines AS (

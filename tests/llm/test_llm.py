@@ -132,6 +132,8 @@ def test_near_duplicates_equal_brute_force(spark, k, t):
 
     for a, b in got:
         parent[max(root(a), root(b))] = min(root(a), root(b))
+    alone = {r.id: r.group for r in neardup.near_duplicate_groups(docs, threshold=t, shingle=k, min_words=50).collect()}
+    assert alone == {i: r.group for i, r in groups.items()}
     assert len(groups) == len(texts) and all(groups[i].group == root(i) for i in fit) and groups[len(texts) - 1].group is None
 
 
@@ -169,6 +171,7 @@ def test_near_duplicates_at_the_edges(spark):
     found = neardup.near_duplicates(docs, threshold=0.5, shingle=3, min_words=2)
     assert found.pairs().count() == 0 and found.groups().count() == docs.count()
     assert forest.replay(docs.withColumn("ingested_at", F.lit("2025-01-01").cast("timestamp")), shingle=3, min_words=2).count() == 0
+    assert neardup.near_duplicate_groups(docs, threshold=0.5, shingle=3, min_words=2).count() >= docs.count() and neardup.near_duplicate_groups(docs.limit(0)).count() == 0
     assert neardup.near_duplicates(docs.limit(0)).groups().count() == 0 and forest.replay(docs.limit(0)).count() == 0
 
 
