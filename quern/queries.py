@@ -17,7 +17,7 @@ from quern.operators.timestamps import normalize_timestamps
 from quern.oracle import AS_OF, chain, nss
 from quern.oracle import ratio as sql_ratio
 from quern.plans import cards, marts, staging
-from quern.session import materialize, table
+from quern.session import materialize, spread, table
 from quern.sources import connectors
 from quern.streaming import intake
 
@@ -396,7 +396,7 @@ def judge_arbitration(spark, d):
 
 @query("aspect_detect")
 def aspect_detect(spark, d):
-    return scoring.detect_aspects(table(spark, d, "raw_documents"), PACK["aspects"], PACK["slang"]).withColumn("matched_keywords", F.array_join("matched_keywords", ","))
+    return scoring.detect_aspects(spread(table(spark, d, "raw_documents").select("document_id", "title", "body")), PACK["aspects"], PACK["slang"]).withColumn("matched_keywords", F.array_join("matched_keywords", ","))
 
 
 @query("chunk_pooling")
@@ -416,7 +416,7 @@ _BODY = "SELECT document_id, {} FROM raw_documents WHERE body IS NOT NULL"
 
 
 def _body(spark: SparkSession, d: str, **cols) -> DataFrame:
-    return table(spark, d, "raw_documents").filter(F.col("body").isNotNull()).select("document_id", *[c.alias(k) for k, c in cols.items()])
+    return spread(table(spark, d, "raw_documents").select("document_id", "body")).filter(F.col("body").isNotNull()).select("document_id", *[c.alias(k) for k, c in cols.items()])
 
 
 @query("txt_tokens", _BODY.format("len(regexp_extract_all(lower(body), '[a-z0-9'']+')) AS n_tokens, array_to_string(regexp_extract_all(lower(body), '[a-z0-9'']+'), ' ') AS tokens"))

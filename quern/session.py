@@ -64,6 +64,15 @@ def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int, limit_bytes: in
     return F.broadcast(df) if rows * row_bytes <= limit_bytes else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan over at least as many partitions as there are cores, for work that costs far more than moving its rows.
+
+    Nothing moves where the scan is already split that far, as any large table's is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, once per application: Python workers need not have it installed or on their path."""
     app = spark.sparkContext.applicationId
