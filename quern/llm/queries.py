@@ -9,12 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import boilerplate, forest, langid, leakage, mixing, neardup, pii, textstats, truncation
-from quern.session import table
+from quern.session import spread
+from quern.session import table as read_table
 
 #: Where the vocabulary files of public tokenizers lie; a parameter of the deployment.
 TOKENIZERS = os.environ.get("QUERN_TOKENIZERS", "/opt/tokenizers")
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for operators that work hard on each row."""
+    df = read_table(spark, sf_dir, name)
+    return spread(df) if name in ("raw_documents", "documents") else df
+
+
 def _first_published(text: str = "published_at", arrival: str = "ingested_at"):
     """The date a document was first published as far as its own text says so at the front; else the date it arrived."""
     stated = F.try_to_timestamp(F.regexp_extract(F.col(text), r"^(\d{4}-\d{2}-\d{2})", 1), F.lit("yyyy-MM-dd"))
