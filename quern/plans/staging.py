@@ -27,7 +27,8 @@ def zoned_instant(text: Column) -> Column:
 def stg_documents(docs: DataFrame, published: DataFrame | None = None) -> DataFrame:
     """published: (document_id, utc_micros) from normalize_timestamps; without it only zoned ISO texts count as published.
 
-    One select over the source columns: lengths and the emptiness test see the untrimmed texts.
+    One select over the source columns: lengths and the emptiness test see the untrimmed texts. A table that carries the `has_text` flag of
+    finalize() is filtered by it, so that marts which need no text read none.
     """
     if published is None:
         at = zoned_instant(F.col("published_at"))
@@ -35,7 +36,7 @@ def stg_documents(docs: DataFrame, published: DataFrame | None = None) -> DataFr
         docs = docs.join(published.select("document_id", F.col("utc_micros").alias("__published")), "document_id", "left")
         at = F.timestamp_micros(F.col("__published"))
     event = F.coalesce(at, F.col("ingested_at"))
-    kept = docs.filter((F.coalesce("title", F.lit("")) != "") | (F.coalesce("body", F.lit("")) != ""))
+    kept = docs.filter("has_text") if "has_text" in docs.columns else docs.filter((F.coalesce("title", F.lit("")) != "") | (F.coalesce("body", F.lit("")) != ""))
     return kept.select(
         "document_id", "doc_uid", F.lower(F.trim("source_platform")).alias("source_platform"), F.lower(F.trim("source_name")).alias("source_name"), "source_type", "external_id", "url",
         blank_to_null(F.col("title")).alias("title"), blank_to_null(F.col("body")).alias("body"), blank_to_null(F.col("author")).alias("author"), "language", "rating",

@@ -40,14 +40,14 @@ ENVELOPE = ("source_platform", "source_name", "external_id", "title", "body", "u
 
 
 def finalize(df: DataFrame, keywords: tuple[str, ...] = (), title_limit: int = 600, body_limit: int = 12_000) -> DataFrame:
-    """The envelope plus doc_uid, content_hash, simhash and relevance. The uid hashes the raw parts with a separator, so that different ids stay different."""
+    """The envelope plus doc_uid, content_hash, simhash, relevance and has_text. The uid hashes the raw parts with a separator, so that different ids stay different."""
     for c in ENVELOPE:
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast("string"))
     text = F.concat_ws(" ", "title", "body")
     return df.withColumns({"title": F.left("title", F.lit(title_limit)), "body": F.left("body", F.lit(body_limit))}).withColumns({
         "doc_uid": F.sha2(F.concat_ws("\u001f", F.coalesce("source_platform", F.lit("")), F.coalesce("source_name", F.lit("")), F.coalesce("external_id", F.lit(""))), 256),
-        "content_hash": content_hash(F.col("title"), F.col("body")), "simhash": simhash(text), "relevance_score": relevance(text, keywords),
+        "content_hash": content_hash(F.col("title"), F.col("body")), "simhash": simhash(text), "relevance_score": relevance(text, keywords), "has_text": F.coalesce(F.col("title") != "", F.lit(False)) | F.coalesce(F.col("body") != "", F.lit(False)),
     })
 
 

@@ -40,6 +40,8 @@ def test_staging_uses_untrimmed_texts_and_falls_back(spark):
     r = staging.stg_documents(docs).collect()
     assert len(r) == 1 and r[0].title is None and r[0].body == "b" and r[0].text_length == 6 and r[0].engagement_score == 4
     assert r[0].event_date == dt.date(2024, 12, 31) and r[0].is_synthetic and not r[0].used_ingested_at_fallback
+    flagged = docs.withColumn("has_text", F.col("document_id") == 2)
+    assert [x.document_id for x in staging.stg_documents(flagged).collect()] == [2]
     named = spark.createDataFrame([(1, 0)], "document_id long, utc_micros long")
     assert staging.stg_documents(docs, named).first().event_date == dt.date(1970, 1, 1)
 
@@ -203,6 +205,7 @@ def test_sources(spark):
     assert [r.d for r in u] == ["a-b.id", None, None]
     df = spark.createDataFrame([("news", "s", "https://x/1"), ("news", "s", "https://x/2")], "source_platform string, source_name string, external_id string")
     assert connectors.finalize(df).select("doc_uid").distinct().count() == 2
+    assert [r.has_text for r in connectors.finalize(df.withColumn("body", F.when(F.col("external_id").endswith("1"), "x").otherwise(""))).orderBy("external_id").collect()] == [True, False]
     head, outlet = connectors.split_headline(F.lit("A - b - Outlet"))
     assert one(spark, F.concat_ws("|", head, outlet)) == "A - b|Outlet"
     a = connectors.synthetic_documents(spark, 50).repartition(7).orderBy("document_id").collect()
