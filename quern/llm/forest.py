@@ -153,33 +153,32 @@ def _set_jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
 class Forest:
     """A forest kept in `path`: rows/RUN (id, uid, hash, text_key, n_words, sets) and keys/RUN (tree, key, id) sorted by tree and key.
 
-    The manifest names the live runs; a run counts from the moment the manifest is replaced, so a broken write leaves none.
+    The newest manifest names the live runs; a run counts from the moment a manifest with it appears, so a broken write leaves none.
     """
 
     def __init__(self, spark: SparkSession, path: str, threshold: float = 0.8, shingle: int = 5, min_words: int = 50, target: float = 0.9, hits: int = 2):
         self.spark, self.path = spark, path.rstrip("/")
         self.threshold, self.shingle, self.min_words, self.target, self.hits = threshold, shingle, min_words, target, hits
 
-    def _fs(self):
-        jvm = self.spark._jvm
-        at = jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest.json")
+    def _fs(self, name: str = ""):
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest{name and '/' + name}")
         return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
 
     def runs(self) -> list[str]:
+        """The live runs, from the manifest of the highest number."""
         fs, at = self._fs()
-        if not fs.exists(at):
-            return []
-        return json.loads("".join(r.value for r in self.spark.read.text(f"{self.path}/manifest.json").collect()))
+        names = sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
+        names = [n for n in names if n.endswith(".json") and not n.startswith((".", "_"))]
+        return json.loads("".join(r.value for r in self.spark.read.text(f"{self.path}/manifest/{names[-1]}").collect())) if names else []
 
     def _set_runs(self, runs: list[str]) -> None:
-        fs, at = self._fs()
-        new = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest-{uuid.uuid4().hex}.json")
+        """A new manifest appears whole, by a rename, under a higher number; older ones stay readable until then."""
+        number = f"{time.time_ns():020d}"
+        fs, new = self._fs(f"_{number}.tmp")
         out = fs.create(new, True)
         out.write(bytearray(json.dumps(runs).encode()))
         out.close()
-        if fs.exists(at):
-            fs.delete(at, False)
-        fs.rename(new, at)
+        fs.rename(new, self._fs(f"{number}.json")[1])
 
     def sketch(self, batch: DataFrame) -> DataFrame:
         """batch: (id, uid, hash, text)."""
