@@ -126,7 +126,8 @@ def kind(s: dict[str, float]) -> str:
     aligned = s["n_lines"] >= 3 and max(s["cell_alignment"], s["column_alignment"]) >= 0.7
     if (s["symbol_ratio"] > 0.55 and not aligned) or s["markup_ratio"] > 0.25 or s["broken_ratio"] > 0.25:
         return "junk"
-    if s["n_words"] >= 8 and (s["top_word"] > 0.45 or s["distinct_words"] < 0.08):
+    # Different words grow like the root of all words in any language; far fewer are a few words over and over.
+    if s["n_words"] >= 8 and (s["top_word"] > 0.45 or s["distinct_words"] * s["n_words"] < 1.2 * s["n_words"] ** 0.5):
         return "junk"
     if s["implausible_words"] > 0.4 or (s["implausible_words"] > 0.25 and s["common_words"] < 0.12):
         return "junk"

@@ -212,7 +212,7 @@ def test_leaks_equal_brute_force(spark, monkeypatch):
     ("t", "want"),
     [
         ("The shop was open all day and the people of the town came in to pay their bills.", "prose"), ("a,1,x\nb,2,y\nc,3,z\nd,4,w", "table"), ("| a | 1 |\n| - | - |\n| b | 2 |\n| c | 3 |", "table"), ("Alpha      12    x\nBeta       7     y\nGamma      9     z", "table"),
-        ("- milk\n- bread\n- eggs and ham\n- tea", "list"), ("1. one\n2. two\n3. three", "list"), ("spam " * 30, "junk"), ("#$%^ &*() @!~ +=_ {}[]", "junk"), ("<div class='a'></div><br/>&nbsp;<span></span>", "junk"), ("8812 99123 55521 0091823 77123", "junk"), ("xqzrtk bvnmpl qwrtpsd zxcvbnm kjhgfdw plmktrz vbnmqwr xzqwrtv", "junk"),
+        ("- milk\n- bread\n- eggs and ham\n- tea", "list"), ("1. one\n2. two\n3. three", "list"), ("spam " * 30, "junk"), ("please fix this " * 8, "junk"), ("#$%^ &*() @!~ +=_ {}[]", "junk"), ("<div class='a'></div><br/>&nbsp;<span></span>", "junk"), ("8812 99123 55521 0091823 77123", "junk"), ("xqzrtk bvnmpl qwrtpsd zxcvbnm kjhgfdw plmktrz vbnmqwr xzqwrtv", "junk"),
         ("We sell these and the rest of it is in the list:\n- milk\n- bread\nAll of that was said in the long letter that they sent to us, and it is true.\nIt was the best of days.", "prose"), (None, "empty"), ("", "empty"), (" \n ", "empty"),
     ],
 )
