@@ -101,7 +101,7 @@ def replay(
     )
     # A text is known by its earliest row from here on; only that row's keys are used.
     groups = materialize(sketch.filter(F.col("text_key").isNotNull()).groupBy("text_key").agg(F.min(F.struct("day", "id")).alias("f")).select("text_key", F.col("f.id").alias("id"), F.col("f.day").alias("first")), "texts")
-    texts = sketch.select("id", "text_key", "keys").join(broadcast_if_small(groups, groups.count(), 48), ["id", "text_key"]).select("id", "first", "keys")
+    texts = sketch.select("id", "text_key", "keys").join(broadcast_if_small(groups, groups.count(), 120), ["id", "text_key"]).select("id", "first", "keys")
     bodies = base.select("id", "text")
 
     def entries(rows: DataFrame, trees: int = TREES) -> DataFrame:
@@ -113,7 +113,7 @@ def replay(
     star = some.join(heads, "key").filter(F.col("fa") < F.col("first")).select("ta", F.col("id").alias("tb")).distinct()
     settled = materialize(verified_ids(star, bodies, shingle, threshold).select(F.col("tb").alias("id")).distinct(), "settled")
     # A settled text has an earlier neighbour, so all of its rows are found; the others are searched for in all trees among all earlier texts.
-    left = entries(texts.join(broadcast_if_small(settled, settled.count(), 16), "id", "left_anti")).select("key", F.col("id").alias("tb"), F.col("first").alias("fb"))
+    left = entries(texts.join(broadcast_if_small(settled, settled.count(), 48), "id", "left_anti")).select("key", F.col("id").alias("tb"), F.col("first").alias("fb"))
     right = entries(texts).select("key", F.col("id").alias("ta"), F.col("first").alias("fa"))
     met = right.join(left, "key").filter(F.col("fa") < F.col("fb")).groupBy("ta", "tb").agg(F.count(F.lit(1)).alias("met")).filter(F.col("met") >= hits).select("ta", "tb")
     linked = settled.unionByName(verified_ids(met, bodies, shingle, threshold).select(F.col("tb").alias("id"))).distinct()

@@ -166,7 +166,7 @@ def verified(pairs: DataFrame, sketch: DataFrame, texts: DataFrame, shingle: int
     keys = pairs.select(F.explode(F.array("ta", "tb")).alias("text_key")).distinct()
     # One row stands for each text that is in a pair; only its text is read, and only such texts move.
     chosen = materialize(sketch.join(keys, "text_key", "left_semi").groupBy("text_key").agg(F.min("id").alias("id")), "chosen")
-    body = texts.join(broadcast_if_small(chosen, chosen.count(), 24), "id").select("text_key", "text")
+    body = texts.join(broadcast_if_small(chosen, chosen.count(), 80), "id").select("text_key", "text")
     a, b = body.select(F.col("text_key").alias("ta"), F.col("text").alias("xa")), body.select(F.col("text_key").alias("tb"), F.col("text").alias("xb"))
     scored = pairs.join(a, "ta").join(b, "tb").select("ta", "tb", _jaccard(shingle)("xa", "xb").alias("similarity"))
     return scored.filter(F.col("similarity") >= threshold)
@@ -176,7 +176,7 @@ def verified_ids(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: fl
     """(ta, tb) of the pairs of ids whose texts are at least `threshold` similar. texts: (id, text); only texts of pairs move."""
     pairs = materialize(pairs, "pairs")
     ids = materialize(pairs.select(F.explode(F.array("ta", "tb")).alias("id")).distinct(), "chosen")
-    body = texts.join(broadcast_if_small(ids, ids.count(), 16), "id")
+    body = texts.join(broadcast_if_small(ids, ids.count(), 48), "id")
     a, b = body.select(F.col("id").alias("ta"), F.col("text").alias("xa")), body.select(F.col("id").alias("tb"), F.col("text").alias("xb"))
     return pairs.join(a, "ta").join(b, "tb").filter(_jaccard(shingle)("xa", "xb") >= threshold).select("ta", "tb")
 
@@ -271,7 +271,7 @@ def near_duplicate_groups(
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sketch = materialize(texts.mapInPandas(sketcher(bands, shingle, min_words), SKETCH), "sketch")
     reps = materialize(sketch.filter(F.col("text_key").isNotNull()).groupBy("text_key").agg(F.min("id").alias("id")), "reps")
-    keys = sketch.select("id", "text_key", "keys").join(broadcast_if_small(reps, reps.count(), 40), ["id", "text_key"]).select("id", "keys").dropDuplicates(["id"])
+    keys = sketch.select("id", "text_key", "keys").join(broadcast_if_small(reps, reps.count(), 100), ["id", "text_key"]).select("id", "keys").dropDuplicates(["id"])
 
     some = keys.select(F.explode(F.slice("keys", 1, STAR_BANDS)).alias("key"), "id")
     heads = some.groupBy("key").agg(F.min("id").alias("ta"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "ta")
