@@ -66,6 +66,18 @@ def segments(text: str) -> list[str]:
     return [s for m in _SEGMENT.finditer(text) if (s := m.group().strip())]
 
 
+_CLOSED = re.compile(r"(?<![.…])[.!?][^\w.…]*$")
+_ADDRESS = re.compile(r"\S*@\S*|\b(?:https?://|www\.)\S+|\S+\s?[(\[]at[)\]]\s?\S+(?:\sdot\s\S+)*")
+
+
+def evidence(segment: str) -> list[str]:
+    """Lower-cased words that speak for a language. Names, places and days have no say, so capitalised words after the first are left
+    out, unless the segment is in capitals or little else is in it; nor have e-mail and web addresses."""
+    words = _WORD.findall(_ADDRESS.sub(" ", segment))
+    plain = [w for i, w in enumerate(words) if i == 0 or not w[0].isupper()]
+    return [w.lower() for w in (plain if len(plain) >= 2 else words)]
+
+
 @dataclass
 class LanguageModel:
     table: np.ndarray  # (BUCKETS, languages): embeddings times softmax weights
@@ -156,7 +168,7 @@ def train(texts: list[str], labels: list[str], seed: int = 1, epochs: int = 4, r
     segs, y = [], []
     for t, lab in zip(texts, labels):
         for s in segments(t):
-            if len(w := _WORD.findall(s.lower())) >= 3:
+            if len(w := evidence(s)) >= 3:
                 segs.append(w)
                 y.append(LANGUAGES.index(lab))
     for lab, words in SEEDS.items():
@@ -238,14 +250,15 @@ def _predict(model: LanguageModel, min_words: int, keep: tuple[str, ...]):
                             for s in segments(line):
                                 own.append(k)
                                 spans.append((at, s))
-                                words.append(_WORD.findall(s.lower()))
+                                words.append(evidence(s))
                                 at += 1
                 own = np.array(own, dtype=np.int64)
                 n = np.array([len(w) for w in words], dtype=float)
+                all_words = np.array([len(_WORD.findall(s)) for _, s in spans])
                 logits = _segment_logits(model, words, memo) if words else np.zeros((0, len(names)))
                 prob = model.scaled(logits, n) if words else logits
                 best, conf = prob.argmax(axis=1) if words else own, prob.max(axis=1) if words else n
-                sure = (conf >= model.reject) & (n >= min_words)
+                sure = (conf >= model.reject) & (all_words >= min_words) if words else np.zeros(0, bool)
                 # The document: its segments' probabilities, weighted by their words.
                 total = np.stack([np.bincount(own, prob[:, j] * n, len(part)) for j in range(len(names))], axis=1) if words else np.zeros((len(part), len(names)))
                 mass = total.sum(axis=1)
@@ -254,7 +267,7 @@ def _predict(model: LanguageModel, min_words: int, keep: tuple[str, ...]):
                 rows = []
                 for k in range(len(part)):
                     s, e = cuts[k], cuts[k + 1]
-                    rows.append([{"segment": int(spans[i][0]), "language": str(names[best[i]]) if sure[i] else "und", "confidence": float(conf[i]), "words": int(n[i])} for i in range(s, e)])
+                    rows.append([{"segment": int(spans[i][0]), "language": str(names[best[i]]) if sure[i] else "und", "confidence": float(conf[i]), "words": int(all_words[i]), "whole": bool(i < e - 1 or _CLOSED.search(spans[i][1]))} for i in range(s, e)])
                 doc_lang = [str(names[b]) if m > 0 and c >= min(0.5, model.reject) else "und" for b, c, m in zip(doc_best, doc_conf, mass)]
                 size = [len(_ANY_WORD.findall(t)) if isinstance(t, str) else 0 for t in part["text"]]
                 kept = {f"label_{c}": part[f"label_{c}"].to_numpy() for c in keep}
@@ -263,13 +276,14 @@ def _predict(model: LanguageModel, min_words: int, keep: tuple[str, ...]):
     return run
 
 
-SCHEMA = "id long, language string, confidence double, n_words int, segments array<struct<segment:int,language:string,confidence:double,words:int>>"
+SCHEMA = "id long, language string, confidence double, n_words int, segments array<struct<segment:int,language:string,confidence:double,words:int,whole:boolean>>"
 
 
 def document_languages(docs: DataFrame, model: LanguageModel, id_col: str = "document_id", text_col: str = "body", skip_col: str | None = None, min_words: int = 4, keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, language, confidence, n_words, segments, label_* of the kept columns). skip_col: numbers of lines, from 1, that have no say.
 
-    segments has every sentence in order with its language (`und` under the rejection threshold or min_words words) and confidence.
+    segments has every sentence in order with its language (`und` under the rejection threshold or min_words words) and confidence; whole is
+    false for a last sentence without a closing mark, which may be cut.
     """
     skip = F.col(skip_col) if skip_col else F.lit(None).cast("array<int>")
     kept = [F.col(c).cast("string").alias(f"label_{c}") for c in keep]
