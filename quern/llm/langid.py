@@ -70,12 +70,13 @@ _CLOSED = re.compile(r"(?<![.…])[.!?][^\w.…]*$")
 _ADDRESS = re.compile(r"\S*@\S*|\b(?:https?://|www\.)\S+|\S+\s?[(\[]at[)\]]\s?\S+(?:\sdot\s\S+)*")
 
 
-def evidence(segment: str) -> list[str]:
-    """Lower-cased words that speak for a language. Names, places and days have no say, so capitalised words after the first are left
+def evidence(segment: str) -> tuple[list[str], int]:
+    """Lower-cased words that speak for a language, and the number of all words. Names, places and days have no say, so capitalised words after the first are left
     out, unless the segment is in capitals or little else is in it; nor have e-mail and web addresses."""
-    words = _WORD.findall(_ADDRESS.sub(" ", segment))
+    # Only segments with a mark of an address are searched for one.
+    words = _WORD.findall(_ADDRESS.sub(" ", segment) if any(x in segment for x in ("@", "(at", "[at", "://", "www.")) else segment)
     plain = [w for i, w in enumerate(words) if i == 0 or not w[0].isupper()]
-    return [w.lower() for w in (plain if len(plain) >= 2 else words)]
+    return [w.lower() for w in (plain if len(plain) >= 2 else words)], len(words)
 
 
 @dataclass
@@ -168,7 +169,7 @@ def train(texts: list[str], labels: list[str], seed: int = 1, epochs: int = 4, r
     segs, y = [], []
     for t, lab in zip(texts, labels):
         for s in segments(t):
-            if len(w := evidence(s)) >= 3:
+            if len(w := evidence(s)[0]) >= 3:
                 segs.append(w)
                 y.append(LANGUAGES.index(lab))
     for lab, words in SEEDS.items():
@@ -236,7 +237,7 @@ def _predict(model: LanguageModel, min_words: int, keep: tuple[str, ...]):
         for p in batches:
             for a in range(0, len(p), 2000):
                 part = p.iloc[a : a + 2000]
-                own, spans, words = [], [], []
+                own, spans, words, all_words = [], [], [], []
                 for k, (t, skip) in enumerate(zip(part["text"], part["skip"])):
                     if not isinstance(t, str):
                         continue
@@ -250,11 +251,13 @@ def _predict(model: LanguageModel, min_words: int, keep: tuple[str, ...]):
                             for s in segments(line):
                                 own.append(k)
                                 spans.append((at, s))
-                                words.append(evidence(s))
+                                speaking, k_words = evidence(s)
+                                words.append(speaking)
+                                all_words.append(k_words)
                                 at += 1
                 own = np.array(own, dtype=np.int64)
                 n = np.array([len(w) for w in words], dtype=float)
-                all_words = np.array([len(_WORD.findall(s)) for _, s in spans])
+                all_words = np.array(all_words)
                 logits = _segment_logits(model, words, memo) if words else np.zeros((0, len(names)))
                 prob = model.scaled(logits, n) if words else logits
                 best, conf = prob.argmax(axis=1) if words else own, prob.max(axis=1) if words else n
