@@ -237,7 +237,7 @@ def _predict(model: LanguageModel, min_words: int, keep: tuple[str, ...]):
         for p in batches:
             for a in range(0, len(p), 2000):
                 part = p.iloc[a : a + 2000]
-                own, spans, words, all_words = [], [], [], []
+                own, spans, words, all_words, site = [], [], [], [], []
                 for k, (t, skip) in enumerate(zip(part["text"], part["skip"])):
                     if not isinstance(t, str):
                         continue
@@ -247,9 +247,10 @@ def _predict(model: LanguageModel, min_words: int, keep: tuple[str, ...]):
                         out = set()  # nothing but such lines: then they are the text
                     at = 0
                     for i, line in enumerate(lines, 1):
-                        if i not in out and line.strip():
+                        if line.strip():
                             for s in segments(line):
                                 own.append(k)
+                                site.append(i in out)
                                 spans.append((at, s))
                                 speaking, k_words = evidence(s)
                                 words.append(speaking)
@@ -262,15 +263,17 @@ def _predict(model: LanguageModel, min_words: int, keep: tuple[str, ...]):
                 prob = model.scaled(logits, n) if words else logits
                 best, conf = prob.argmax(axis=1) if words else own, prob.max(axis=1) if words else n
                 sure = (conf >= model.reject) & (all_words >= min_words) if words else np.zeros(0, bool)
-                # The document: its segments' probabilities, weighted by their words.
-                total = np.stack([np.bincount(own, prob[:, j] * n, len(part)) for j in range(len(names))], axis=1) if words else np.zeros((len(part), len(names)))
+                # The document: its segments' probabilities, weighted by their words; lines without a say weigh nothing.
+                say = np.where(np.array(site, dtype=bool), 0.0, n)
+                total = np.stack([np.bincount(own, prob[:, j] * say, len(part)) for j in range(len(names))], axis=1) if words else np.zeros((len(part), len(names)))
                 mass = total.sum(axis=1)
                 doc_best, doc_conf = total.argmax(axis=1), np.where(mass > 0, total.max(axis=1) / np.maximum(mass, 1e-9), 0.0)
                 cuts = np.searchsorted(own, np.arange(len(part) + 1))
                 rows = []
                 for k in range(len(part)):
                     s, e = cuts[k], cuts[k + 1]
-                    rows.append([{"segment": int(spans[i][0]), "language": str(names[best[i]]) if sure[i] else "und", "confidence": float(conf[i]), "words": int(all_words[i]), "whole": bool(i < e - 1 or _CLOSED.search(spans[i][1]))} for i in range(s, e)])
+                    last = {e - 1, next((i for i in range(e - 1, s - 1, -1) if not site[i]), e - 1)}  # of all segments, and of those with a say
+                    rows.append([{"segment": int(spans[i][0]), "language": str(names[best[i]]) if sure[i] else "und", "confidence": float(conf[i]), "words": int(all_words[i]), "whole": bool(i not in last or _CLOSED.search(spans[i][1])), "site_line": site[i]} for i in range(s, e)])
                 doc_lang = [str(names[b]) if m > 0 and c >= min(0.5, model.reject) else "und" for b, c, m in zip(doc_best, doc_conf, mass)]
                 size = [len(_ANY_WORD.findall(t)) if isinstance(t, str) else 0 for t in part["text"]]
                 kept = {f"label_{c}": part[f"label_{c}"].to_numpy() for c in keep}
@@ -279,14 +282,15 @@ def _predict(model: LanguageModel, min_words: int, keep: tuple[str, ...]):
     return run
 
 
-SCHEMA = "id long, language string, confidence double, n_words int, segments array<struct<segment:int,language:string,confidence:double,words:int,whole:boolean>>"
+SCHEMA = "id long, language string, confidence double, n_words int, segments array<struct<segment:int,language:string,confidence:double,words:int,whole:boolean,site_line:boolean>>"
 
 
 def document_languages(docs: DataFrame, model: LanguageModel, id_col: str = "document_id", text_col: str = "body", skip_col: str | None = None, min_words: int = 4, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, language, confidence, n_words, segments, label_* of the kept columns). skip_col: numbers of lines, from 1, that have no say.
+    """(id, language, confidence, n_words, segments, label_* of the kept columns). skip_col: numbers of lines, from 1, that have no say
+    in the document's language.
 
-    segments has every sentence in order with its language (`und` under the rejection threshold or min_words words) and confidence; whole is
-    false for a last sentence without a closing mark, which may be cut.
+    segments has every sentence of every line in order with its language (`und` under the rejection threshold or min_words words) and confidence; whole is
+    false for a last sentence without a closing mark, which may be cut; site_line is true for sentences of lines without a say.
     """
     skip = F.col(skip_col) if skip_col else F.lit(None).cast("array<int>")
     kept = [F.col(c).cast("string").alias(f"label_{c}") for c in keep]

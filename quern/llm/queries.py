@@ -74,7 +74,7 @@ def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A language counts where a whole sentence is surely written in it (confidence 0.9); without one the document's own language does."""
     found = _languages(spark, sf_dir).filter(F.col("n_words") >= 6)
-    named = F.array_distinct(F.transform(F.filter("segments", lambda s: (s["language"] != "und") & s["whole"] & (s["confidence"] >= 0.9)), lambda s: s["language"]))
+    named = F.array_distinct(F.transform(F.filter("segments", lambda s: (s["language"] != "und") & ~s["site_line"] & s["whole"] & (s["confidence"] >= 0.9)), lambda s: s["language"]))
     spoken = F.when(F.size(named) > 0, named).when(F.col("language") != "und", F.array("language")).otherwise(F.array())
     rows = found.select(F.col("id").alias("document_id"), spoken.alias("spoken"), langid.normal_label(F.col("label_language")).alias("label"))
     right = (F.size("spoken") == 1) & F.col("label").isNotNull() & (F.element_at("spoken", 1) == F.col("label"))
@@ -88,9 +88,9 @@ def p3_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each differently written segment with its language and confidence."""
+    """Each segment with its language and confidence, those of lines that the site adds included and marked."""
     found = _languages(spark, sf_dir).select("id", F.explode("segments").alias("s"))
-    return found.select(F.col("id").alias("document_id"), F.col("s.segment").alias("segment_no"), F.col("s.language").alias("language"), F.col("s.confidence").alias("confidence"), F.col("s.words").alias("n_words"))
+    return found.select(F.col("id").alias("document_id"), F.col("s.segment").alias("segment_no"), F.col("s.language").alias("language"), F.col("s.confidence").alias("confidence"), F.col("s.words").alias("n_words"), F.col("s.site_line").alias("site_line"))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -284,6 +284,16 @@ def test_languages_held_out(spark, sf_dir):
     assert langid.document_languages(mixed.limit(0), model).count() == 0
 
 
+def test_site_lines_are_segments_without_a_say(spark, sf_dir):
+    model = langid.fit(spark.read.parquet(f"{sf_dir}/raw_documents.parquet"))
+    own, notice = "The people of the town would not pay because nobody had come to the market.", "Los vecinos no quieren pagar porque nadie ha venido al mercado de la ciudad."
+    docs = spark.createDataFrame([(1, f"{own}\n{notice}\n{notice}", [2, 3]), (2, f"{own}\n{notice}", None), (3, f"{own[:-1]}\n{notice}", [2])], "document_id long, body string, site_lines array<int>")
+    got = {r.id: r for r in langid.document_languages(docs, model, skip_col="site_lines").collect()}
+    assert [(s.segment, s.language, s.site_line) for s in got[1].segments] == [(0, "en", False), (1, "es", True), (2, "es", True)]
+    assert got[1].language == "en" and [s.site_line for s in got[2].segments] == [False, False]
+    assert [s.whole for s in got[3].segments] == [False, True]  # the text's own last sentence may be cut, whatever the site adds below
+
+
 def test_labels_and_untrained_model(spark):
     labels = ["id", "ID", "id-ID", "in", "Indonesian", "en_GB", "spa", "fr-FR", "mul", "unknown", "", None, "ms"]
     got = [r.x for r in spark.createDataFrame([(x,) for x in labels], "l string").select(langid.normal_label(F.col("l")).alias("x")).collect()]
