@@ -293,3 +293,13 @@ def near_duplicate_groups(
     final = components(both(links), nodes).select(F.col("u").alias("rep"), F.col("label").alias("group"))
     per_text = reps.select("text_key", F.col("id").alias("rep")).join(final, "rep").select("text_key", "group")
     return sketch.select("id", "text_key").join(per_text, "text_key", "left").select("id", "group")
+
+
+#: A member of a family is left out only if it meets none of the others, so fewer bands do than for pairs.
+FAMILY_BANDS = Bands(4, 24, 1)
+
+
+def families(docs: DataFrame, id_col: str = "document_id", text_col: str = "body", min_words: int = 20) -> DataFrame:
+    """(id, family), one row per id: texts that are edited copies of each other, over any number of steps, share a family; null for shorter texts."""
+    found = near_duplicate_groups(docs, id_col, text_col, 0.5, 3, min_words, FAMILY_BANDS)
+    return materialize(found.groupBy("id").agg(F.min("group").alias("family")), "families")

@@ -294,6 +294,18 @@ def test_site_lines_are_segments_without_a_say(spark, sf_dir):
     assert [s.whole for s in got[3].segments] == [False, True]  # the text's own last sentence may be cut, whatever the site adds below
 
 
+def test_lines_of_edited_copies_are_no_site_lines(spark):
+    rng = random.Random(5)
+    story = text(60, rng)
+    day = lambda i: dt.datetime(2025, 1, 1 + i % 5)
+    rows = [{"document_id": i, "body": f"{edited(story, 0.04, rng)}\nan unedited line of it", "ingested_at": day(i)} for i in range(12)]
+    rows += [{"document_id": 50 + i, "body": f"{text(40, rng)}\nthe site says hello", "ingested_at": day(i)} for i in range(8)]
+    rows += [{"document_id": 80 + i, "body": f"{text(40, rng)}\nnews of one day", "ingested_at": day(0)} for i in range(8)]
+    docs = raw(spark, rows)
+    assert {tuple(r) for r in boilerplate.find_repeated_lines(docs, q.site_lines(docs)).collect()} == {(50 + i, 2) for i in range(8)}
+    assert q.site_lines(docs.limit(0)).count() == 0
+
+
 def test_labels_and_untrained_model(spark):
     labels = ["id", "ID", "id-ID", "in", "Indonesian", "en_GB", "spa", "fr-FR", "mul", "unknown", "", None, "ms"]
     got = [r.x for r in spark.createDataFrame([(x,) for x in labels], "l string").select(langid.normal_label(F.col("l")).alias("x")).collect()]
