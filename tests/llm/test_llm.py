@@ -250,6 +250,18 @@ def test_truncation_is_found(spark):
     assert len(got & want) >= 0.9 * len(want) and len(got - want) <= 0.1 * len(got)
 
 
+def test_many_copies_of_a_cut_text_are_no_witnesses(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("aeioulmnrst") for _ in range(5)) for _ in range(60)]
+    sentence = lambda: " ".join(rng.choice(words) for _ in range(8)) + "."
+    rows = [{"document_id": i, "body": " ".join(sentence() for _ in range(5)), "language": "en"} for i in range(600)]
+    story = " ".join(sentence() for _ in range(5)) + " " + " ".join(rng.choice(words) for _ in range(4)) + " " + rng.choice(words)[:3]
+    rows += [{"document_id": 1000 + i, "body": story, "source_name": f"s{i}", "language": "en"} for i in range(26)]
+    rows += [{"document_id": 2000 + i, "body": " ".join([rng.choice(words), *story.split()[1:]]), "language": "en"} for i in range(12)]
+    got = {r.id: r.log_odds for r in truncation.truncated_values(raw(spark, rows)).filter("field = 'body'").collect()}
+    assert min(got[i] for i in got if i >= 1000) > 0 > max(got[i] for i in got if i < 1000)
+
+
 def test_window_hashes_do_not_depend_on_place():
     import pandas as pd
 
