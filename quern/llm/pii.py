@@ -7,8 +7,8 @@ boundaries and types together: the best set of segments that don't overlap; text
 the likelihood of labelled sentences (pii_training) with the forward and backward sums of the same lattice.
 
 Name roles come from a list of given and family names, widened by words that stand beside listed names in the author field:
-`induced_names` keeps those seen with at least two different listed names and in at least max(3, 1 in 100,000) rows, so that there are at
-most about 100,000 of a role however many rows there are.
+`induced_names` keeps those seen with at least two different listed names and in at least 3 rows, however many rows there are. All of them
+are sent to the executors, so their memory grows with the number of different names.
 
 Texts are scanned for triggers first; the lattice is built only around them, as nothing else can hold a candidate.
 
@@ -322,9 +322,8 @@ def induced_names(docs: DataFrame, listed: dict[str, str], author_col: str = "au
         return {}
     seen = docs.select(F.col(author_col).alias("author")).mapInPandas(run, "word string, role string, partner string")
     per = seen.groupBy("word", "role", "partner").agg(F.count(F.lit(1)).alias("n")).groupBy("word", "role").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("partners"))
-    least = max(3, docs.count() // 100_000)
     found: dict[str, set[str]] = defaultdict(set)
-    for r in per.filter((F.col("n") >= least) & (F.col("partners") >= 2)).collect():
+    for r in per.filter((F.col("n") >= 3) & (F.col("partners") >= 2)).collect():
         found[r.word].add(r.role)
     return {w: "b" if len(r) > 1 else next(iter(r)) for w, r in found.items()}
 

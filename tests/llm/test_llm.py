@@ -370,6 +370,8 @@ def test_names_are_induced_and_edges_hold(spark):
     listed = {"ratna": "g", "surya": "g", "wirasena": "f"}
     rows = [{"document_id": i, "author": a} for i, a in enumerate(["Ratna Lestaluhu", "Surya Lestaluhu", "Lestaluhu, Ratna", "Ratna Sekali", "Ratna Sekali", "Ratna Sekali", None, ""])]
     assert pii.induced_names(raw(spark, rows), listed) == {"lestaluhu": "f"}
+    many = raw(spark, rows).select("author").unionByName(spark.range(400_000).select(F.lit(None).cast("string").alias("author")))
+    assert pii.induced_names(many, listed) == {"lestaluhu": "f"}  # as many rows are enough at any size
     assert pii.find_pii(edges(spark), {}).count() == 0 and pii.redact_pii(edges(spark), {}).count() == edges(spark).count()
     assert pii.find_pii(edges(spark).limit(0), listed).count() == 0
     assert pii.listed_names(spark.createDataFrame([("A", "given"), ("a", "family"), (None, "given"), ("", "given")], "name string, name_kind string")) == {"a": "b"}
