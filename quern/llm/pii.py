@@ -49,7 +49,7 @@ _DIGIT_RUN = re.compile(r"\d[\d .\-/()]{5,}[\d]")
 
 _SMALL = {"de", "del", "de la", "la", "las", "los", "el", "du", "des", "le", "les", "rue", "avenue", "calle", "avenida", "boulevard", "bis", "ter", "no", "rt", "rw", "blok", "nomor", "núm", "flat", "jl", "jln", "jalan", "gang", "gg"}
 #: Words that may open an address; a name may follow the second list even if neither of its words has a known role.
-STREET_CUES = ("jl", "jln", "jalan", "gang", "gg", "dusun", "kampung", "kp", "street", "lane", "road", "avenue", "drive", "court", "close", "ave", "rd", "st", "ln", "calle", "avenida", "avda", "av", "c/", "plaza", "paseo", "rue", "boulevard", "impasse", "allée", "chemin")
+STREET_CUES = ("jl", "jln", "jalan", "gang", "gg", "dusun", "kampung", "kp", "street", "lane", "road", "avenue", "drive", "court", "close", "ave", "rd", "st", "ln", "calle", "avenida", "avda", "av", "c/", "plaza", "paseo", "rue", "boulevard", "impasse", "allée", "chemin", "place")
 NAME_CUES = ("penulis", "laporan", "atas nama", "account of", "held by", "au nom de", "a nombre de", "texte de", "texto de")
 
 

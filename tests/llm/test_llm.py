@@ -349,6 +349,14 @@ def test_personal_information(spark):
             assert 0 <= r.start < r.end <= len(t)
 
 
+def test_addresses_lie_inside_trigger_windows():
+    triggers = pii._Triggers({})
+    spots = ["Jl. Melati No. 12", "26B Harbour Ave.", "calle Mayor 12", *[f"12 {cue} de la Mairie" for cue in ("rue", "avenue", "boulevard", "impasse", "allée", "chemin", "place")]]
+    for t in spots:
+        m = next(m for p in pii._STREET if (m := p.search(t)))
+        assert any(a <= m.start() and m.end() <= b for a, b, _ in triggers.windows(t)), t
+
+
 def test_marginals_equal_enumeration():
     from itertools import combinations
 
