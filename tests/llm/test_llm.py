@@ -263,16 +263,59 @@ def test_many_copies_of_a_cut_text_are_no_witnesses(spark):
 
 
 def test_window_hashes_do_not_depend_on_place():
-    import pandas as pd
-
     t = "abc xyz 0123 the quick brown fox jumps over it"
     data = np.frombuffer(truncation._bytes("some other text " + t), dtype=np.uint8)
     p, inv = truncation._powers(len(data))
     sums = truncation.prefix_sums(data, inv)
-    own = truncation.tail_keys(pd.Series([t, "ab"]))
+    keys, size = truncation.tail_keys([truncation._bytes(t), b"ab"])
     for k, n in enumerate(truncation.ORDERS):
-        assert int(truncation.exact_keys(truncation.window_hashes(sums, p, n)[-1:], n).view(np.int64)[0]) == own[0][k]
-    assert all(x == 0 for x in own[1][: len(truncation.ORDERS)])
+        assert truncation.exact_keys(truncation.window_hashes(sums, p, n)[-1:], n)[0] == keys[0][k]
+    assert list(size) == [truncation.ORDERS[-1], 2]
+
+
+def test_contexts_are_counted_with_what_follows():
+    texts = ["the red cat sat. the red car", "the red cart\nthe red can!", "a red car"]
+    sample = truncation.Sample.of(iter(texts), [[b"the red car", b"a red car"], []], block=8)
+    keys, counts = truncation.count_contexts(sample, 6)
+    at = {k: c for k, c in zip(keys.tolist(), counts.tolist())}
+    asked, _ = truncation.tail_keys([b" red ca", b"red car"])
+    # " red ca" and "red car" as six bytes: "red ca" goes on within a word five times; "ed car" once within a word, and two values end with it.
+    assert at[int(asked[0][1])] == [0.0, 0.0, 5.0, 0.0, 0.0]
+    assert at[int(asked[1][1])] == [0.0, 0.0, 1.0, 2.0, 0.0]
+
+
+def test_headlines_of_a_number_of_words_are_abridged(spark):
+    rng = random.Random(3)
+    subj, verb, obj, why = ["the old baker", "a tall farmer", "the new teacher"], ["was selling", "had mended", "will bring"], ["fresh bread in the market", "wooden chairs for the school"], ["before the long holiday", "after heavy rain in spring", "because the road was closed"]
+    line = lambda: f"{rng.choice(subj)} {rng.choice(verb)} {rng.choice(obj)} {rng.choice(why)}"
+    rows, short, cut = [], set(), set()
+    for i in range(1500):
+        t = line()
+        if i % 15 == 0:
+            t, _ = " ".join(t.split()[:7]), short.add(i)
+        elif i % 60 == 1:
+            t = t[: rng.randint(18, len(t) - 6)]
+            while not (t[-1].isalpha() and t.split()[-1] not in {w for x in subj + verb + obj + why for w in x.split()}):
+                t = t[:-1]
+            cut.add(i)
+        rows.append({"document_id": i, "title": t, "language": "en"})
+    got = {r.id: r for r in truncation.truncated_values(raw(spark, rows)).collect()}
+    assert not any(got[i].truncated for i in short)
+    assert sum(got[i].truncated for i in cut) >= 0.8 * len(cut)
+    assert sum(r.truncated for r in got.values()) <= 1.2 * len(cut)
+
+
+def test_whole_words_at_one_word_count_are_more_than_cuts_foretell(spark):
+    rows = [("title", 6, True)] * 40 + [("title", 6, False)] * 3 + [("title", 5, True)] * 3 + [("title", 5, False)] * 20 + [("body", 90, True)] * 6 + [("body", 90, False)] * 30
+    got = truncation.abridged_counts(spark.createDataFrame(rows, "field string, n_words int, whole boolean"), 0.16).collect()
+    assert [(r.field, r.n_words) for r in got] == [("title", 6)]
+
+
+def test_the_training_sample_has_one_size_at_any_number_of_rows(spark):
+    kept = lambda share: spark.range(20_000).filter(truncation._lowest(F.xxhash64("id"), F.lit(share))).count()
+    assert kept(1.0) == 20_000 and abs(kept(0.01) - 200) < 60
+    # Ten billion rows: the share is tiny, not nothing.
+    assert spark.range(1).select(truncation._lowest(F.lit(-(2**63) + 10), F.lit(2e3 / 1e10))).first()[0]
 
 
 def test_truncation_at_the_edges(spark):
