@@ -286,7 +286,9 @@ def test_contexts_are_counted_with_what_follows():
 
 def test_headlines_of_a_number_of_words_are_abridged(spark):
     rng = random.Random(3)
-    subj, verb, obj, why = ["the old baker", "a tall farmer", "the new teacher"], ["was selling", "had mended", "will bring"], ["fresh bread in the market", "wooden chairs for the school"], ["before the long holiday", "after heavy rain in spring", "because the road was closed"]
+    subj, verb = ["the old baker", "a tall farmer", "the new teacher", "my young neighbour", "the harbour pilot"], ["was selling", "had mended", "will bring", "is carrying"]
+    obj = ["fresh bread in the market", "wooden chairs for the school", "three baskets of apples", "heavy boxes to the harbour", "painted signs of the river crossing"]
+    why = ["before the long holiday", "after heavy rain in spring", "because the road was closed", "despite several warnings", "with help from younger pupils"]
     line = lambda: f"{rng.choice(subj)} {rng.choice(verb)} {rng.choice(obj)} {rng.choice(why)}"
     rows, short, cut = [], set(), set()
     for i in range(1500):
