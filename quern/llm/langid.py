@@ -25,6 +25,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.llm.words import lowest
+
 BUCKETS, DIM = 1 << 15, 16
 LANGUAGES = ("id", "en", "es", "fr")
 
@@ -214,15 +216,16 @@ def train(texts: list[str], labels: list[str], seed: int = 1, epochs: int = 4, r
 
 
 def labelled_sample(docs: DataFrame, text_col: str, label: Column, per_language: int) -> list:
-    """At most about per_language documents of each language (the bound is on the expectation, plus a tenth), spread by hash."""
+    """About per_language documents of each language (the bound is on the expectation), those of the lowest 64-bit hashes, at any number of rows."""
     rows = docs.select(F.col(text_col).alias("text"), label.alias("label")).filter(F.col("label").isNotNull() & (F.length("text") >= 30))
     counts = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return []
     keep = F.lit(False)
     for lab, n in counts.items():
-        keep = keep | ((F.col("label") == lab) & (F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, per_language / n))))
-    return rows.filter(keep).limit(int(1.1 * per_language * len(counts)) + 100).collect()
+        keep = keep | ((F.col("label") == lab) & lowest(F.xxhash64("text"), F.lit(min(1.0, per_language / n))))
+    # Copies of a text come once, so that the bound holds whatever is copied how often.
+    return rows.filter(keep).groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.min("label").alias("label")).collect()
 
 
 def fit(docs: DataFrame, text_col: str = "body", label_col: str = "language", per_language: int = 300) -> LanguageModel:

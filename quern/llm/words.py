@@ -9,6 +9,7 @@ import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import Column
 
 WORD = re.compile(r"[^\W_]+")
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -54,3 +55,8 @@ def shingles(h: np.ndarray, width: int) -> np.ndarray:
 def text_key(h: np.ndarray) -> int:
     """Signed 64-bit key of the sequence of words: texts with equal words in equal order share it."""
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(h.tobytes())).astype(np.int64)))
+
+
+def lowest(h: Column, share: Column) -> Column:
+    """Whether a 64-bit hash is among that share of the lowest of all 2**64: a sample whose size does not depend on the number of rows it is drawn from."""
+    return h.cast("double") < (share * float(2**64) - float(2**63))

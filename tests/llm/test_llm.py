@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quern.llm import boilerplate, forest, langid, leakage, mixing, neardup, pii, textstats, truncation
 from quern.llm import queries as q
-from quern.llm.words import WordHashes, shingles, word_hashes
+from quern.llm.words import WordHashes, lowest, shingles, word_hashes
 from tests.compare import agree
 
 R = random.Random(7)
@@ -315,10 +315,10 @@ def test_whole_words_at_one_word_count_are_more_than_cuts_foretell(spark):
 
 
 def test_the_training_sample_has_one_size_at_any_number_of_rows(spark):
-    kept = lambda share: spark.range(20_000).filter(truncation._lowest(F.xxhash64("id"), F.lit(share))).count()
+    kept = lambda share: spark.range(20_000).filter(lowest(F.xxhash64("id"), F.lit(share))).count()
     assert kept(1.0) == 20_000 and abs(kept(0.01) - 200) < 60
     # Ten billion rows: the share is tiny, not nothing.
-    assert spark.range(1).select(truncation._lowest(F.lit(-(2**63) + 10), F.lit(2e3 / 1e10))).first()[0]
+    assert spark.range(1).select(lowest(F.lit(-(2**63) + 10), F.lit(2e3 / 1e10))).first()[0]
 
 
 def test_truncation_at_the_edges(spark):
