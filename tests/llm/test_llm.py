@@ -154,18 +154,47 @@ def test_replay_equals_brute_force_and_incremental_checks(spark, tmp_path):
     same = lambda a, b: a["doc_uid"] == b["doc_uid"] or (big(a) and big(b) and (a["content_hash"] == b["content_hash"] or similar(a["body"], b["body"], 3) >= 0.5))
     want = {a["document_id"] for a in rows for b in rows if b["ingested_at"] < a["ingested_at"] and same(a, b)}
     assert got == want
-    f = forest.Forest(spark, str(tmp_path / "forest"), threshold=0.5, shingle=3, min_words=50)
+    assert {r.document_id for r in forest.replay(docs, threshold=0.5, shingle=3, min_words=50, batches=1).collect()} == want
+    f = forest.Forest(spark, str(tmp_path / "forest"), threshold=0.5, shingle=3, min_words=50, file_entries=100)
     seen = set()
     for day in (1, 2, 3):
-        batch = docs.filter(F.dayofmonth("ingested_at") == day).select(F.col("document_id").alias("id"), F.col("doc_uid").alias("uid"), F.col("content_hash").alias("hash"), F.col("body").alias("text"))
-        seen |= {r.id for r in f.check(batch).collect()}
-        f.append(batch)
+        batch = docs.filter(F.dayofmonth("ingested_at") == day).select(F.col("document_id").alias("id"), F.lit(day).alias("day"), F.col("doc_uid").alias("uid"), F.col("content_hash").alias("hash"), F.col("body").alias("text"))
+        seen |= {r.id for r in f.add(batch).collect()}
         if day == 2:
             f.merge()
-            assert len(f.runs()) == 1
+            assert [len(f.runs()[k]) for k in ("rows", "trees", "exact")] == [2, 1, 1]
     assert seen == want
 
 
+def test_what_a_batch_reads_follows_the_batch(spark, tmp_path):
+    rng = random.Random(5)
+    schema = "id long, day int, uid string, hash string, text string"
+    batch = spark.createDataFrame([(10_000 + i, 9, f"n{i}", f"n{i}", text(60, rng)) for i in range(2)], schema)
+    read = []
+    for n in (60, 600):
+        f = forest.Forest(spark, str(tmp_path / f"f{n}"), 0.5, 3, 50, file_entries=64)
+        f.add(spark.createDataFrame([(i, 1, f"u{i}", f"h{i}", text(60, rng)) for i in range(n)], schema))
+        before = f.entries_read.value
+        assert f.add(batch).count() == 0
+        read.append(f.entries_read.value - before)
+    assert read[1] < 3 * read[0]  # ten times the history
+
+
+def test_a_family_of_edited_copies_is_settled_by_its_earliest(spark, tmp_path):
+    rng = random.Random(6)
+    story = text(80, rng)
+    rows = [(i, i % 4, None, None, edited(story, 0.03, rng)) for i in range(120)] + [(1000 + i, i % 4, None, None, text(80, rng)) for i in range(120)]
+    f = forest.Forest(spark, str(tmp_path / "f"), 0.5, 3, 50)
+    got = {r.id for r in f.add(spark.createDataFrame(rows, "id long, day int, uid string, hash string, text string")).collect()}
+    assert got == {r[0] for r in rows if r[0] < 1000 and r[1] > 0}
+
+
+def test_days_are_split_into_spans(spark):
+    days = spark.createDataFrame([(d,) for d in (1, 1, 1, 1, 2, 3, 3, 9)], "day int")
+    assert forest.batches_of_days(days, 2) == [(1, 1), (2, 9)] and forest.batches_of_days(days, 1) == [(1, 9)]
+    assert forest.batches_of_days(days, 99)[0] == (1, 1) and forest.batches_of_days(days.limit(0), 3) == []
+
+
 def test_near_duplicates_at_the_edges(spark):
     docs = edges(spark)
     found = neardup.near_duplicates(docs, threshold=0.5, shingle=3, min_words=2)
