@@ -12,7 +12,7 @@ of keys), each with the bounds of its files. `add` takes a batch through these s
 2. Their keys become a new sorted run, cut into files of about FILE_ENTRIES whatever the run's size.
 3. The new run's entries look up their ranges in all runs, their own included, by binary search. A task opens only files whose bounds meet its entries: the
    rows read are bounded by the batch's entries times FILE_ENTRIES, however long the history is.
-4. Prefixes are widened step by step. A deep prefix comes first, where each entry meets only the earliest text of its range; what is verified there is
+4. Prefixes are widened step by step. A deep prefix in some of the trees comes first, where each entry meets only the earliest text of its range; what is verified there is
    settled, so a family of edited copies that holds a third of all rows costs about one candidate an entry. What is left is widened to the
    prefix that reaches the recall target and meets everything in its ranges; candidates are those met in at least `hits` trees.
 5. Candidates are verified by exact Jaccard similarity of the shingle hashes kept in rows (32 bits each); only row files whose bounds hold a candidate are read.
@@ -43,7 +43,7 @@ from quern.llm.words import WordHashes, shingles, word_hashes
 from quern.session import broadcast_if_small, materialize, shared_dir
 
 TREES, STRIDE, DEPTH = 64, 4, 6
-STAR_DEPTH = 5
+STAR_TREES, STAR_DEPTH = 16, 5
 FILE_ENTRIES = 1 << 19
 MOST_RUNS = 8
 
@@ -276,7 +276,9 @@ class Forest:
         def pairs(entries: DataFrame, depth: int, star: bool) -> DataFrame:
             return entries.mapInPandas(_range_search(bounds, 8 * (DEPTH - depth), star, self.entries_read), "ta long, tb long")
 
-        deep = pairs(trees, max(self.depth, STAR_DEPTH), True).distinct()
+        # The run is sorted by tree, so the other trees' row groups are not even read.
+        some = trees.filter(F.col("key") < (STAR_TREES << (8 * DEPTH)))
+        deep = pairs(some, max(self.depth, STAR_DEPTH), True).distinct()
         settled = materialize(self._verified(deep, runs["rows"]), "settled")
         n_settled = settled.count()
         left = trees.join(broadcast_if_small(settled.withColumnRenamed("tb", "id"), n_settled, 48), "id", "left_anti").select("key", "id", "day")
