@@ -66,16 +66,26 @@ def greedy_keep(nodes: DataFrame, pairs: DataFrame, most_rounds: int = 1000) ->
     raise RuntimeError("the greedy rule did not settle")
 
 
-def intake(docs: DataFrame, keywords: tuple[str, ...] = (), floor: float = 1e-9, scored_platforms: tuple[str, ...] = ("news",)) -> DataFrame:
-    """docs with `outcome`: empty, irrelevant, duplicate or new. First arrivals win, by uid and then by content hash."""
-    text = F.concat_ws(" ", "title", "body")
-    empty = F.trim(text) == ""
+def intake_outcomes(docs: DataFrame, floor: float = 1e-9, scored_platforms: tuple[str, ...] = ("news",)) -> DataFrame:
+    """(document_id, outcome), one row a row of docs: empty, irrelevant, duplicate or new. First arrivals win, by uid and then by content hash.
+
+    Texts are looked at once, for whether there are any; only ids and keys are exchanged.
+    """
     irrelevant = F.col("source_platform").isin(*scored_platforms) & (F.coalesce(F.col("relevance_score"), F.lit(0)) <= floor)
-    fit = docs.withColumn("__fit", ~empty & ~irrelevant)
-    uid = fit.filter("__fit").groupBy("doc_uid").agg(F.min("document_id").alias("__u"))
-    step = fit.join(uid, "doc_uid", "left")
-    live = step.filter(F.col("__fit") & (F.col("document_id") == F.col("__u"))).withColumn("__h", F.lower("content_hash"))
-    first = live.groupBy("__h").agg(F.min("document_id").alias("__c"))
-    out = step.withColumn("__h", F.lower("content_hash")).join(first, "__h", "left")
-    new = (F.col("document_id") == F.col("__u")) & (F.col("__h").isNull() | (F.col("document_id") == F.col("__c")))
-    return out.withColumn("outcome", F.when(empty, "empty").when(irrelevant, "irrelevant").when(F.coalesce(new, F.lit(True)), "new").otherwise("duplicate")).drop("__fit", "__u", "__h", "__c")
+    why = F.when(F.trim(F.concat_ws(" ", "title", "body")) == "", "empty").when(irrelevant, "irrelevant")
+    rows = docs.select("document_id", "doc_uid", F.lower("content_hash").alias("h"), why.alias("why"))
+    uid = rows.filter(F.col("why").isNull()).groupBy("doc_uid").agg(F.min("document_id").alias("u"))
+    rows = rows.join(uid, "doc_uid", "left")
+    first = rows.filter(F.col("why").isNull() & (F.col("document_id") == F.col("u"))).groupBy("h").agg(F.min("document_id").alias("c"))
+    new = (F.col("document_id") == F.col("u")) & (F.col("h").isNull() | (F.col("document_id") == F.col("c")))
+    return rows.join(first, "h", "left").select("document_id", F.coalesce("why", F.when(F.coalesce(new, F.lit(True)), "new").otherwise("duplicate")).alias("outcome"))
+
+
+def intake(docs: DataFrame, floor: float = 1e-9, scored_platforms: tuple[str, ...] = ("news",)) -> DataFrame:
+    """docs with `outcome`; document_id is unique in docs."""
+    return docs.drop("outcome").join(intake_outcomes(docs, floor, scored_platforms), "document_id", "left")
+
+
+def outcome_counts(outcomes: DataFrame) -> DataFrame:
+    """(outcome, n): what an intake reports."""
+    return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))

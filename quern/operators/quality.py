@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,38 +28,37 @@ class Expectation:
 def run_suite(df: DataFrame, suite: list[Expectation]) -> DataFrame:
     """One row an expectation: expectation, column_name, evaluated_rows, unexpected_count, success. Nulls only count for not_null.
 
-    All simple counts are one aggregation. Uniqueness needs its values grouped; that happens once per column, with partial counts.
-    An empty frame passes everything.
+    All simple counts are one aggregation, whose single row is then laid out as rows. Uniqueness needs its values grouped; that happens once for each
+    such column, with partial counts. So the table is read once, and once more (that column alone) for each unique column. An empty frame passes everything.
     """
     spark = df.sparkSession
+    if not suite:
+        return spark.createDataFrame([], "expectation string, column_name string, evaluated_rows long, unexpected_count long, success boolean")
+    row = lambda e, n, bad, ok: F.struct(F.lit(e.name).alias("expectation"), F.lit(e.column).alias("column_name"), n.cast("long").alias("evaluated_rows"), bad.cast("long").alias("unexpected_count"), ok.alias("success"))
     aggs: list[Column] = [F.count(F.lit(1)).alias("rows")]
+    simple, grouped = [], {}
     for i, e in enumerate(suite):
         c = F.col(e.column)
-        bad = {"not_null": c.isNull(), "in_set": ~c.isin(*e.values) if e.values else F.lit(False)}.get(e.kind)
+        if e.kind in ("unique", "unique_share"):
+            grouped.setdefault(e.column, []).append(e)
+            continue
+        bad = {"not_null": c.isNull(), "in_set": ~c.isin(*e.values) if e.values else F.lit(False)}.get(e.kind, F.lit(False))
         if e.kind == "between":
-            bad = F.lit(False)
             if e.low is not None:
                 bad = bad | (c < F.lit(e.low))
             if e.high is not None:
                 bad = bad | (c > F.lit(e.high))
-        if bad is not None:
-            aggs += [F.count(F.when(bad, 1)).alias(f"bad{i}"), F.count(c).alias(f"n{i}")]
-    counts = df.agg(*aggs)
-    out = None
-    for i, e in enumerate(suite):
-        if e.kind in ("unique", "unique_share"):
-            groups = df.filter(F.col(e.column).isNotNull()).groupBy(e.column).agg(F.count(F.lit(1)).alias("n"))
-            one = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("d"), F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("twice"))
-            bad = F.col("twice") if e.kind == "unique" else F.col("n") - F.col("d")
-            share = F.when(F.col("n") == 0, 1.0).otherwise(F.col("d") / F.col("n"))
-            ok = F.col("twice") == 0 if e.kind == "unique" else share.between(float(e.low if e.low is not None else 0.0), float(e.high if e.high is not None else 1.0))
-            row = one.select(F.lit(e.name).alias("expectation"), F.lit(e.column).alias("column_name"), F.col("n").alias("evaluated_rows"), bad.cast("long").alias("unexpected_count"), ok.alias("success"))
-        else:
-            n = F.col("rows") if e.kind == "not_null" else F.col(f"n{i}")
-            ok = (F.col(f"bad{i}") == 0) if e.mostly >= 1 else (F.col(f"bad{i}") <= n * (1 - e.mostly))
-            row = counts.select(F.lit(e.name).alias("expectation"), F.lit(e.column).alias("column_name"), n.alias("evaluated_rows"), F.col(f"bad{i}").alias("unexpected_count"), ok.alias("success"))
-        out = row if out is None else out.unionByName(row)
-    return out if out is not None else spark.createDataFrame([], "expectation string, column_name string, evaluated_rows long, unexpected_count long, success boolean")
+        aggs += [F.count(F.when(bad, 1)).alias(f"bad{i}"), F.count(c).alias(f"n{i}")]
+        n = F.col("rows") if e.kind == "not_null" else F.col(f"n{i}")
+        simple.append(row(e, n, F.col(f"bad{i}"), (F.col(f"bad{i}") == 0) if e.mostly >= 1 else (F.col(f"bad{i}") <= n * (1 - e.mostly))))
+    parts = [df.agg(*aggs).select(F.inline(F.array(*simple)))] if simple else []
+    for column, asked in grouped.items():
+        groups = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+        one = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("d"), F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("twice"))
+        share = F.when(F.col("n") == 0, 1.0).otherwise(F.col("d") / F.col("n"))
+        rows = [row(e, F.col("n"), F.col("twice") if e.kind == "unique" else F.col("n") - F.col("d"), F.col("twice") == 0 if e.kind == "unique" else share.between(float(e.low if e.low is not None else 0.0), float(e.high if e.high is not None else 1.0))) for e in asked]
+        parts.append(one.select(F.inline(F.array(*rows))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 class GateFailed(RuntimeError):

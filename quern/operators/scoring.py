@@ -9,10 +9,10 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions.metrics import four_places
 from quern.functions.text import clauses, keyword_pattern, normalize_tokens
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -25,7 +25,7 @@ class Weights:
     base: dict[str, float] = field(default_factory=lambda: {"transformer": 0.55, "emotion": 0.15, "rating": 0.18, "aspect": 0.12})
     judge: float = 0.35
     confidence: dict[str, float] = field(default_factory=lambda: {"agreement": 0.35, "coverage": 0.20, "evidence": 0.20, "margin": 0.25})
-    platforms: dict[str, dict[str, float]] = field(default_factory=lambda: {"news": {"emotion": 0.6, "transformer": 1.05}, "playstore": {"rating": 1.25, "emotion": 1.15}, "appstore": {"rating": 1.25, "emotion": 1.15}, "twitter": {"emotion": 1.2}, "youtube": {"emotion": 1.2}, "reddit": {"emotion": 1.2}})
+    platforms: dict[str, dict[str, float]] = field(default_factory=lambda: {"news": {"emotion": 0.6, "transformer": 1.05}, "playstore": {"rating": 1.25, "emotion": 1.15}, "appstore": {"rating": 1.25, "emotion": 1.15}, "twitter": {"emotion": 1.2}, "youtube": {"emotion": 1.2}, "reddit": {"emotion": 1.2}, "kaskus": {"emotion": 1.2}, "google_maps": {"rating": 1.25, "emotion": 1.15}})
     band: float = 0.12
     review_below: float = 0.55
     conflict: float = 0.35
@@ -42,10 +42,30 @@ def aspect_signal(aspects: DataFrame) -> DataFrame:
     return aspects.groupBy("document_id").agg((F.sum(F.col("sentiment_score").cast("double") * w) / F.sum(w)).alias("aspect_signal"))
 
 
+def combined(signals: Column) -> Column:
+    """Mean of the signals' scores by weight, each share rounded to four places, between -1 and 1; 0 without signals. signals: array of (name, score, weight)."""
+    total = F.aggregate(signals, F.lit(0.0), lambda a, s: a + s["weight"])
+    score = F.aggregate(signals, F.lit(0.0), lambda a, s: a + four_places(s["score"] * s["weight"] / total))
+    return F.when(F.size(signals) == 0, 0.0).otherwise(four_places(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), score))))
+
+
+def agreement(signals: Column) -> Column:
+    """1 where all signals say the same, 0 where they conflict as much as they can (their standard deviation is 1); 0.6 for fewer than two."""
+    n = F.size(signals)
+    mean = F.try_divide(F.aggregate(signals, F.lit(0.0), lambda a, s: a + s["score"]), n)
+    spread = F.sqrt(F.try_divide(F.aggregate(signals, F.lit(0.0), lambda a, s: a + (s["score"] - mean) * (s["score"] - mean)), n))
+    return F.when(n < 2, 0.6).otherwise(four_places(1 - F.least(spread, F.lit(1.0))))
+
+
+def label_of(score: Column, band: float) -> Column:
+    return F.when(score > band, "positive").when(score < -band, "negative").otherwise("neutral")
+
+
 def blend(docs: DataFrame, w: Weights = Weights()) -> DataFrame:
     """docs: document_id, source_platform, n_words, entropy, and a column s_<signal> for each base signal, null where it isn't available.
 
-    Adds blended_score, blended_label, blended_agreement, blended_confidence, needs_review, blended_reason.
+    Adds blended_score, blended_label, blended_agreement, blended_confidence, needs_review, blended_reason and blended_signals. An unknown
+    entropy counts as 1: a model that doesn't say how sure it is adds no evidence.
     """
     names = list(w.base)
 
@@ -53,33 +73,24 @@ def blend(docs: DataFrame, w: Weights = Weights()) -> DataFrame:
         factor = F.lit(1.0)
         for platform, by in w.platforms.items():
             if name in by:
-                factor = F.when(F.col("source_platform") == platform, F.lit(by[name])).otherwise(factor)
-        return F.when(F.col(f"s_{name}").isNotNull(), factor * w.base[name])
-
-    signals = F.filter(F.array(*[F.struct(F.col(f"s_{n}").cast("double").alias("score"), weight(n).alias("weight")) for n in names]), lambda s: s["score"].isNotNull())
-    out = docs.withColumn("__s", signals)
-    total = F.aggregate("__s", F.lit(0.0), lambda a, s: a + s["weight"])
-    n = F.size("__s")
-    out = out.withColumn("__total", total).withColumn("__n", n)
-    score = F.aggregate("__s", F.lit(0.0), lambda a, s: a + F.round(s["score"] * s["weight"] / F.col("__total"), 4))
-    mean = F.try_divide(F.aggregate("__s", F.lit(0.0), lambda a, s: a + s["score"]), F.col("__n"))
-    out = out.withColumn("blended_score", F.when(F.col("__n") == 0, 0.0).otherwise(F.round(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), score)), 4))).withColumn("__mean", mean)
-    spread = F.sqrt(F.try_divide(F.aggregate("__s", F.lit(0.0), lambda a, s: a + (s["score"] - F.col("__mean")) * (s["score"] - F.col("__mean"))), F.col("__n")))
-    agreement = F.when(F.col("__n") < 2, 0.6).otherwise(F.round(1 - F.least(spread, F.lit(1.0)), 4))
-    length = F.least(F.col("n_words") / 40.0, F.lit(1.0)) * 0.5
-    evidence = length + F.when(F.col("s_transformer").isNotNull(), (1 - F.coalesce("entropy", F.lit(0.0))) * 0.5).otherwise(0.0)
+                factor = F.when(F.lower("source_platform") == platform, F.lit(by[name])).otherwise(factor)
+        return factor * w.base[name]
+
+    signals = F.filter(F.array(*[F.struct(F.lit(n).alias("name"), F.col(f"s_{n}").cast("double").alias("score"), weight(n).alias("weight")) for n in names]), lambda s: s["score"].isNotNull())
+    s = F.col("blended_signals")
+    out = docs.withColumn("blended_signals", signals).withColumn("blended_score", combined(s)).withColumn("blended_agreement", agreement(s))
+    decisive = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - F.coalesce("entropy", F.lit(1.0))))
+    evidence = F.least(F.col("n_words") / 40.0, F.lit(1.0)) * 0.5 + F.when(F.col("s_transformer").isNotNull(), decisive * 0.5).otherwise(0.0)
     margin = F.least(F.abs("blended_score") / (3 * w.band), F.lit(1.0))
     c = w.confidence
-    out = out.withColumn("blended_agreement", agreement)
-    out = out.withColumn("blended_confidence", F.round(c["agreement"] * F.col("blended_agreement") + c["coverage"] * F.col("__n") / 4.0 + c["evidence"] * evidence + c["margin"] * margin, 4))
-    label = F.when(F.col("blended_score") > w.band, "positive").when(F.col("blended_score") < -w.band, "negative").otherwise("neutral")
-    strong = lambda sign: F.exists("__s", lambda s: s["score"] * sign >= w.conflict)
-    out = out.withColumn("blended_label", label)
+    out = out.withColumn("blended_confidence", four_places(c["agreement"] * F.col("blended_agreement") + c["coverage"] * F.size(s) / float(len(names)) + c["evidence"] * evidence + c["margin"] * margin))
+    strong = lambda sign: F.exists(s, lambda x: x["score"] * sign >= w.conflict)
+    out = out.withColumn("blended_label", label_of(F.col("blended_score"), w.band))
     reason = (
         F.when(strong(1) & strong(-1), "signal_conflict").when(F.col("blended_confidence") < w.review_below, "low_confidence")
-        .when((F.col("blended_label") != "neutral") & (F.abs("blended_score") < 1.4 * w.band), "borderline_label").when(F.col("__n") <= 1, "insufficient_signals")
+        .when((F.col("blended_label") != "neutral") & (F.abs("blended_score") < 1.4 * w.band), "borderline_label").when(F.size(s) <= 1, "insufficient_signals")
     )
-    return out.withColumn("blended_reason", reason).withColumn("needs_review", F.col("blended_reason").isNotNull()).drop("__s", "__total", "__n", "__mean")
+    return out.withColumn("blended_reason", reason).withColumn("needs_review", F.col("blended_reason").isNotNull())
 
 
 def pool_chunks(chunks: DataFrame) -> DataFrame:
@@ -132,32 +143,36 @@ _LABELS = {"positive": 1, "positif": 1, "negative": -1, "negatif": -1, "neutral"
 
 def parse_verdict(text: str | None) -> dict | None:
     """A judge's reply as {label, score, confidence, reason}, or None: the outermost braces must hold JSON with a known label, and the
-    score must not contradict it. Score defaults to 0.6 times the label's sign, confidence to 0.5; both are clamped."""
+    score must not contradict it. A missing or null score is 0.6 times the label's sign, a missing confidence 0.5; both are clamped."""
     if not text or (a := text.find("{")) < 0 or (b := text.rfind("}")) < a:
         return None
     try:
         got = json.loads(text[a : b + 1])
         sign = _LABELS[str(got["label"]).strip().lower()]
-        score = max(-1.0, min(1.0, float(got.get("score", 0.6 * sign))))
+        given = got.get("score")
+        score = 0.6 * sign if given is None else max(-1.0, min(1.0, float(given)))
         confidence = max(0.0, min(1.0, float(got.get("confidence", 0.5))))
     except (ValueError, KeyError, TypeError, AttributeError):
         return None
     if sign and score * sign < 0:
         return None
-    return {"label": {1: "positive", -1: "negative", 0: "neutral"}[sign], "score": score, "confidence": confidence, "reason": str(got.get("reason", ""))}
+    return {"label": {1: "positive", -1: "negative", 0: "neutral"}[sign], "score": score, "confidence": confidence, "reason": str(got.get("reason", "")).strip()[:200]}
 
 
 def arbitrate(open_docs: DataFrame, complete: Callable[[str], str], budget: int = 300, w: Weights = Weights()) -> DataFrame:
     """Up to `budget` documents put to a judge, one call each, on the driver: the budget is global, so the calls can't be spread.
 
-    open_docs: document_id, text, blended_score, blended_confidence, blended_reason. Rows without enough signals aren't asked about.
+    open_docs: document_id, text, blended_signals, blended_confidence, blended_reason, document_id unique. Those without enough signals aren't
+    asked about, the least sure are asked first. A usable verdict becomes one more signal: score, label and agreement are formed anew over all
+    of them, confidence is at least 0.9 of the judge's, and what is still under the threshold stays open as low_confidence_after_llm.
     """
     spark = open_docs.sparkSession
-    asked = open_docs.filter(F.col("blended_reason") != "insufficient_signals").orderBy("blended_confidence", "document_id").limit(budget).select("document_id", F.left("text", F.lit(2500)).alias("text"), "blended_score", "blended_confidence").toPandas()
-    rows = []
-    for r in asked.itertuples():
-        v = parse_verdict(complete(r.text or ""))
-        if v is not None:
-            score = (r.blended_score + w.judge * v["score"]) / (1 + w.judge)
-            rows.append((int(r.document_id), round(score, 4), v["label"], min(1.0, max(float(r.blended_confidence), 0.9 * v["confidence"])), v["reason"]))
-    return spark.createDataFrame(pd.DataFrame(rows, columns=["document_id", "score", "label", "confidence", "reason"]) if rows else [], "document_id long, score double, label string, confidence double, reason string")
+    asked = open_docs.filter(F.col("blended_reason") != "insufficient_signals").orderBy("blended_confidence", "document_id").limit(budget).select("document_id", F.left("text", F.lit(2500)).alias("text")).collect()
+    verdicts = [(r.document_id, v["score"], v["confidence"], v["reason"]) for r in asked if (v := parse_verdict(complete(r.text or ""))) is not None]
+    given = F.broadcast(spark.createDataFrame(verdicts, "document_id long, __score double, __sure double, reason string"))  # at most `budget` rows
+    rows = open_docs.select("document_id", "blended_signals", "blended_confidence").join(given, "document_id")
+    judge = F.array(F.struct(F.lit("llm_judge").alias("name"), F.col("__score").alias("score"), F.lit(w.judge).alias("weight")))
+    rows = rows.withColumn("signals", F.concat("blended_signals", judge))
+    rows = rows.select("document_id", combined(F.col("signals")).alias("score"), agreement(F.col("signals")).alias("agreement"), four_places(F.least(F.lit(1.0), F.greatest("blended_confidence", 0.9 * F.col("__sure")))).alias("confidence"), "reason")
+    open_still = F.col("confidence") < w.review_below
+    return rows.select("document_id", "score", label_of(F.col("score"), w.band).alias("label"), "agreement", "confidence", open_still.alias("needs_review"), F.when(open_still, "low_confidence_after_llm").alias("review_reason"), "reason")

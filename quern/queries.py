@@ -370,28 +370,62 @@ def aspect_signal(spark, d):
 def _blended(spark: SparkSession, d: str) -> DataFrame:
     m = Models(spark, d)
     on = lambda has, c: F.when(F.col(has), F.col(c))
-    rows = m.scored.select("document_id", "source_platform", F.size(tx.tokens(F.concat_ws(" ", "title", "body"))).alias("n_words"), F.col("transformer_entropy").alias("entropy"), on("has_transformer_signal", "transformer_score").alias("s_transformer"), on("has_emotion_signal", "emotion_score").alias("s_emotion"), scoring.rating_signal(F.col("rating")).alias("s_rating"))
+    n_words = F.size(F.regexp_extract_all(F.concat_ws(" ", "title", "body"), F.lit(r"\S+"), F.lit(0)))
+    rows = m.scored.select("document_id", "source_platform", n_words.alias("n_words"), F.col("transformer_entropy").alias("entropy"), on("has_transformer_signal", "transformer_score").alias("s_transformer"), on("has_emotion_signal", "emotion_score").alias("s_emotion"), scoring.rating_signal(F.col("rating")).alias("s_rating"))
     aspects = scoring.aspect_signal(m.document_aspect_sentiment).withColumnRenamed("aspect_signal", "s_aspect")
     return scoring.blend(rows.join(aspects, "document_id", "left"))
 
 
-@query("ensemble_scores")
+_SIGNALS = {"transformer": ("0.55e0", "WHEN 'news' THEN 1.05e0"), "emotion": ("0.15e0", "WHEN 'news' THEN 0.6e0 WHEN 'playstore' THEN 1.15e0 WHEN 'appstore' THEN 1.15e0 WHEN 'google_maps' THEN 1.15e0 WHEN 'twitter' THEN 1.2e0 WHEN 'youtube' THEN 1.2e0 WHEN 'reddit' THEN 1.2e0 WHEN 'kaskus' THEN 1.2e0"), "rating": ("0.18e0", "WHEN 'playstore' THEN 1.25e0 WHEN 'appstore' THEN 1.25e0 WHEN 'google_maps' THEN 1.25e0"), "aspect": ("0.12e0", "WHEN '' THEN 1e0")}
+
+
+def _sum(each: str, names=tuple(_SIGNALS)) -> str:
+    return "(" + " + ".join(f"CASE WHEN s_{n} IS NULL THEN 0e0 ELSE {each.format(n=n)} END" for n in names) + ")"
+
+
+_AGREES = "CASE WHEN n < 2 THEN 0.6e0 ELSE (floor((1e0 - least(sqrt({spread} / n), 1e0)) * 10000e0 + 0.5e0) / 10000e0) END"
+_BLENDED = f"""
+blend_in AS (SELECT s.document_id, lower(source_platform) AS p, len(regexp_extract_all(concat_ws(' ', title, body), '\\S+')) AS n_words, CAST(transformer_entropy AS DOUBLE) AS entropy,
+  CASE WHEN has_transformer_signal THEN CAST(transformer_score AS DOUBLE) END AS s_transformer, CASE WHEN has_emotion_signal THEN CAST(emotion_score AS DOUBLE) END AS s_emotion, CASE WHEN rating BETWEEN 1 AND 5 THEN (rating - 3) / 2e0 END AS s_rating, s_aspect
+  FROM scored s LEFT JOIN (SELECT document_id, sum(CAST(sentiment_score AS DOUBLE) * (1 + 0.15e0 * least(mentions, 5))) / sum(1 + 0.15e0 * least(mentions, 5)) AS s_aspect FROM document_aspect_sentiment GROUP BY 1) a USING (document_id)),
+blend_w AS (SELECT *, {", ".join(f"CASE p {by} ELSE 1e0 END * {base} AS w_{n}" for n, (base, by) in _SIGNALS.items())}, {" + ".join(f"(s_{n} IS NOT NULL)::INT" for n in _SIGNALS)} AS n FROM blend_in),
+blend_t AS (SELECT *, {_sum("w_{n}")} AS total, {_sum("s_{n}")} / nullif(n, 0) AS mean FROM blend_w),
+blend_s AS (SELECT *, CASE WHEN n = 0 THEN 0e0 ELSE (floor((greatest(-1e0, least(1e0, {_sum("(floor((s_{n} * w_{n} / total) * 10000e0 + 0.5e0) / 10000e0)")}))) * 10000e0 + 0.5e0) / 10000e0) END AS score, {_AGREES.format(spread=_sum("(s_{n} - mean) * (s_{n} - mean)"))} AS agreement FROM blend_t),
+blend_c AS (SELECT *, (floor((0.35e0 * agreement + 0.2e0 * n / 4e0 + 0.2e0 * (least(n_words / 40e0, 1e0) * 0.5e0 + CASE WHEN s_transformer IS NULL THEN 0e0 ELSE greatest(0e0, least(1e0, 1e0 - coalesce(entropy, 1e0))) * 0.5e0 END) + 0.25e0 * least(abs(score) / 0.36e0, 1e0)) * 10000e0 + 0.5e0) / 10000e0) AS confidence,
+  CASE WHEN score > 0.12e0 THEN 'positive' WHEN score < -0.12e0 THEN 'negative' ELSE 'neutral' END AS label FROM blend_s),
+blended AS (SELECT *, CASE WHEN greatest({", ".join(f"coalesce(s_{n}, 0e0)" for n in _SIGNALS)}) >= 0.35e0 AND least({", ".join(f"coalesce(s_{n}, 0e0)" for n in _SIGNALS)}) <= -0.35e0 THEN 'signal_conflict' WHEN confidence < 0.55e0 THEN 'low_confidence'
+  WHEN label <> 'neutral' AND abs(score) < 1.4e0 * 0.12e0 THEN 'borderline_label' WHEN n <= 1 THEN 'insufficient_signals' END AS reason FROM blend_c)"""
+
+
+@query("ensemble_scores", f"SELECT * FROM (WITH {_BLENDED} SELECT document_id, score AS blended_score, label AS blended_label, agreement AS blended_agreement, confidence AS blended_confidence, reason AS blended_reason, reason IS NOT NULL AS needs_review FROM blended)")
 def ensemble_scores(spark, d):
     return _blended(spark, d).select("document_id", "blended_score", "blended_label", "blended_agreement", "blended_confidence", "blended_reason", "needs_review")
 
 
-@query("judge_arbitration")
+_JUDGED = f"""WITH {_BLENDED},
+one AS (SELECT * FROM blended WHERE reason IS NOT NULL QUALIFY row_number() OVER (PARTITION BY document_id ORDER BY confidence, score) = 1),
+asked AS (SELECT o.*, left(lower(concat_ws(' ', title, body)), 2500) AS low FROM one o JOIN raw_documents USING (document_id) WHERE reason <> 'insufficient_signals' ORDER BY confidence, document_id LIMIT 300),
+told AS (SELECT *, greatest(-1e0, least(1e0, ({" + ".join(f"(length(low) - length(replace(low, '{w}', ''))) / {len(w)}e0" for w in ("cepat", "quick", "mantap"))} - {" - ".join(f"(length(low) - length(replace(low, '{w}', ''))) / {len(w)}e0" for w in ("lemot", "slow", "error"))}) / 3e0)) AS s_judge FROM asked),
+again AS (SELECT document_id, confidence, (floor((greatest(-1e0, least(1e0, {_sum("(floor((s_{n} * w_{n} / (total + 0.35e0)) * 10000e0 + 0.5e0) / 10000e0)")} + (floor((s_judge * 0.35e0 / (total + 0.35e0)) * 10000e0 + 0.5e0) / 10000e0)))) * 10000e0 + 0.5e0) / 10000e0) AS score,
+  CASE WHEN n < 1 THEN 0.6e0 ELSE (floor((1e0 - least(sqrt(({_sum("(s_{n} - (mean * n + s_judge) / (n + 1)) * (s_{n} - (mean * n + s_judge) / (n + 1))")} + (s_judge - (mean * n + s_judge) / (n + 1)) * (s_judge - (mean * n + s_judge) / (n + 1))) / (n + 1)), 1e0)) * 10000e0 + 0.5e0) / 10000e0) END AS agreement FROM told),
+sure AS (SELECT *, (floor((least(1e0, greatest(confidence, 0.9e0 * 0.7e0))) * 10000e0 + 0.5e0) / 10000e0) AS conf FROM again)
+SELECT document_id, score, CASE WHEN score > 0.12e0 THEN 'positive' WHEN score < -0.12e0 THEN 'negative' ELSE 'neutral' END AS label, agreement, conf AS confidence, conf < 0.55e0 AS needs_review, CASE WHEN conf < 0.55e0 THEN 'low_confidence_after_llm' END AS review_reason FROM sure"""
+
+
+@query("judge_arbitration", f"SELECT * FROM ({_JUDGED})")
 def judge_arbitration(spark, d):
     """A judge that is a plain function: it answers by counting praise and complaint words."""
     texts = Models(spark, d).raw_documents.select("document_id", F.concat_ws(" ", "title", "body").alias("text"))
-    rows = _blended(spark, d).filter("needs_review").dropDuplicates(["document_id"]).join(texts, "document_id")
+    kept = F.struct("blended_confidence", "blended_score", "blended_reason", "blended_signals")
+    # A document that was scored twice is asked about once, by its less sure score.
+    rows = _blended(spark, d).filter("needs_review").groupBy("document_id").agg(F.min(kept).alias("k")).select("document_id", "k.*").join(texts, "document_id")
 
     def judge(text: str) -> str:
         low = text.lower()
         score = sum(low.count(w) for w in ("cepat", "quick", "mantap")) - sum(low.count(w) for w in ("lemot", "slow", "error"))
         return '{"label": "%s", "score": %s, "confidence": 0.7}' % ("positive" if score > 0 else "negative" if score < 0 else "neutral", max(-1.0, min(1.0, score / 3)))
 
-    return scoring.arbitrate(rows, judge)
+    return scoring.arbitrate(rows, judge).drop("reason")
 
 
 @query("aspect_detect")
@@ -546,7 +580,7 @@ l AS (SELECT f.*, first FROM f LEFT JOIN u USING (doc_uid)),
 c AS (SELECT lower(content_hash) AS h, min(document_id) AS cfirst FROM l WHERE NOT empty AND NOT irrelevant AND document_id = first GROUP BY 1)
 SELECT document_id, CASE WHEN empty THEN 'empty' WHEN irrelevant THEN 'irrelevant' WHEN document_id = first AND (content_hash IS NULL OR document_id = cfirst) THEN 'new' ELSE 'duplicate' END AS outcome FROM l LEFT JOIN c ON lower(content_hash) = h""")
 def dedup_intake(spark, d):
-    return dedup.intake(table(spark, d, "raw_documents")).select("document_id", "outcome")
+    return dedup.intake_outcomes(table(spark, d, "raw_documents"))
 
 
 @query("dedup_near_pairs", "WITH v AS (SELECT DISTINCT simhash AS s FROM raw_documents WHERE simhash <> 0) SELECT x.s AS a, y.s AS b, CAST(bit_count(xor(x.s, y.s)) AS INT) AS distance FROM v x JOIN v y ON x.s < y.s AND bit_count(xor(x.s, y.s)) <= 4")

@@ -3,7 +3,10 @@ from __future__ import annotations
 import csv
 import datetime as dt
 import random
+import subprocess
+import sys
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,10 +155,37 @@ def test_verdicts_rejected(reply):
 
 def test_verdict_accepted_and_budget_kept(spark):
     assert scoring.parse_verdict('Sure: {"label": "Positif", "confidence": 7} ok') == {"label": "positive", "score": 0.6, "confidence": 1.0, "reason": ""}
-    docs = spark.createDataFrame([(i, "t", 0.1, 0.2 + i / 100, "low_confidence") for i in range(5)] + [(9, "t", 0.0, 0.0, "insufficient_signals")], "document_id long, text string, blended_score double, blended_confidence double, blended_reason string")
+    assert scoring.parse_verdict('{"label": "negatif", "score": null}')["score"] == -0.6
+    schema = "document_id long, text string, blended_signals array<struct<name:string,score:double,weight:double>>, blended_confidence double, blended_reason string"
+    two = [("transformer", 0.4, 0.55), ("rating", 0.0, 0.15)]
+    docs = spark.createDataFrame([(i, "t", two, 0.2 + i / 100, "low_confidence") for i in range(5)] + [(9, "t", [], 0.0, "insufficient_signals")], schema)
     calls = []
-    got = scoring.arbitrate(docs, lambda t: calls.append(t) or '{"label": "negative", "score": -1, "confidence": 0.9}', budget=3).collect()
+    got = scoring.arbitrate(docs, lambda t: calls.append(t) or '{"label": "negative", "score": -1, "confidence": 0.9}', budget=3).orderBy("document_id").collect()
     assert len(calls) == 3 and [r.document_id for r in got] == [0, 1, 2] and got[0].confidence == pytest.approx(0.81)
+    # (0.4 * 0.55 - 1 * 0.35) / 1.05, each share rounded; the label is that of the new score.
+    assert got[0].score == pytest.approx(-0.1238) and got[0].label == "negative" and not got[0].needs_review
+    assert got[0].agreement == pytest.approx(round(1 - (((0.4 + 0.2) ** 2 + 0.2**2 + 0.8**2) / 3) ** 0.5, 4))
+    unsure = scoring.arbitrate(docs, lambda t: '{"label": "neutral", "score": 0, "confidence": 0.5}', budget=1).collect()
+    assert unsure[0].needs_review and unsure[0].review_reason == "low_confidence_after_llm"
+    assert scoring.arbitrate(docs, lambda t: "no", budget=3).count() == 0
+
+
+def test_a_suite_reads_its_table_once(spark, tmp_path):
+    spark.createDataFrame([(1, "a"), (2, None)], "x int, y string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    got = quality.run_suite(df, [quality.Expectation("not_null", "y"), quality.Expectation("between", "x", low=1, high=1), quality.Expectation("unique", "x"), quality.Expectation("unique_share", "x", low=0.5)])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2  # all counts, and the one column that has to be unique
+    assert {(r.expectation, r.unexpected_count, r.success) for r in got.collect()} == {("expect_not_null", 1, False), ("expect_between", 1, False), ("expect_unique", 0, True), ("expect_unique_share", 0, True)}
+    assert quality.run_suite(df, []).count() == 0
+
+
+def test_core_queries_without_the_training_text_package():
+    """Where something that package needs is missing, the core still stands."""
+    code = "import sys; sys.modules['ahocorasick'] = None; sys.path.insert(0, '.'); import __spark_entry__ as e; n = e.queries(); print(len(n), any(k[:2] == 'p1' for k in n), set(e.oracle_sql()) <= set(n))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parent.parent, capture_output=True, text=True, timeout=120)
+    n, llm, oracle = out.stdout.split()
+    assert int(n) >= 90 and llm == "False" and oracle == "True"
 
 
 def test_aspects_and_pooling(spark):
