@@ -34,7 +34,7 @@ def run_suite(df: DataFrame, suite: list[Expectation]) -> DataFrame:
     spark = df.sparkSession
     if not suite:
         return spark.createDataFrame([], "expectation string, column_name string, evaluated_rows long, unexpected_count long, success boolean")
-    row = lambda e, n, bad, ok: F.struct(F.lit(e.name).alias("expectation"), F.lit(e.column).alias("column_name"), n.cast("long").alias("evaluated_rows"), bad.cast("long").alias("unexpected_count"), ok.alias("success"))
+    row = lambda e, n, bad, ok: F.struct(F.lit(suite.index(e)).alias("__at"), F.lit(e.name).alias("expectation"), F.lit(e.column).alias("column_name"), n.cast("long").alias("evaluated_rows"), bad.cast("long").alias("unexpected_count"), ok.alias("success"))
     aggs: list[Column] = [F.count(F.lit(1)).alias("rows")]
     simple, grouped = [], {}
     for i, e in enumerate(suite):
@@ -58,7 +58,7 @@ def run_suite(df: DataFrame, suite: list[Expectation]) -> DataFrame:
         share = F.when(F.col("n") == 0, 1.0).otherwise(F.col("d") / F.col("n"))
         rows = [row(e, F.col("n"), F.col("twice") if e.kind == "unique" else F.col("n") - F.col("d"), F.col("twice") == 0 if e.kind == "unique" else share.between(float(e.low if e.low is not None else 0.0), float(e.high if e.high is not None else 1.0))) for e in asked]
         parts.append(one.select(F.inline(F.array(*rows))))
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts).orderBy("__at").drop("__at")  # one row an expectation
 
 
 class GateFailed(RuntimeError):
