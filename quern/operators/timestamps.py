@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.session import materialize
+
 #: Month names and their usual abbreviations in id, en, es, fr.
 MONTHS = {
     "januari": 1, "februari": 2, "maret": 3, "april": 4, "mei": 5, "juni": 6, "juli": 7, "agustus": 8, "september": 9, "oktober": 10, "november": 11, "desember": 12,
@@ -147,6 +149,8 @@ def _under_order(found: list[tuple[str, int | None, str]], order: str | None) ->
 #: Bins of (arrival - instant) in days: published after arrival, within a day, a week, a year, older.
 LAG_EDGES = np.array([-1.0, 1.0, 7.0, 60.0, 400.0]) * DAY_US
 UNKNOWN_LAG = len(LAG_EDGES) + 1
+#: A text is seldom published after it arrived, whatever a source's values would make of it.
+_PLAUSIBLE = np.array([0.02] + [1.0] * UNKNOWN_LAG)
 
 
 def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -189,7 +193,7 @@ def fit_source(pdf: pd.DataFrame, prior_weight: float = 1000.0, rounds: int = 60
         new_share, new_lag, post = alpha.copy(), np.full(UNKNOWN_LAG + 1, 1.0), []
         for fs, gs, n in sets:
             k, j = [at[f] for f in fs], list(gs)
-            w = share[k] * lag[j]
+            w = share[k] * lag[j] * _PLAUSIBLE[j]
             w = w / w.sum()
             post.append(w)
             np.add.at(new_share, k, n * w)
@@ -225,6 +229,7 @@ def normalize_timestamps(
     clocks = catalog.groupBy(F.col("source_name").alias("source")).agg(F.min(F.struct("time_zone", "date_order")).alias("c")).select("source", F.col("c.time_zone").alias("zone"), F.col("c.date_order").alias("date_order"))
     rows = docs.select(F.col(id_col).alias("row_id"), F.coalesce(F.col(source_col), F.lit("")).alias("source"), F.col(text_col).cast("string").alias("text"), F.unix_micros(F.col(arrival_col).cast("timestamp")).alias("arrival"))
     parsed = rows.join(clocks, "source", "left").select("row_id", "source", "text", "zone", "date_order", "arrival").mapInPandas(_parse_batches, _PARSED)
+    parsed = materialize(parsed, "readings")  # parsed once: the fit and the choice both read it, without the texts
     contested = F.size("formats") > 1
     counts = parsed.groupBy("source", "formats", "lags").agg(F.count(F.lit(1)).alias("n")).join(clocks.select("source", "date_order"), "source", "left")
     fit = counts.groupBy("source").applyInPandas(lambda pdf: fit_source(pdf), _FIT).filter(contested)
@@ -241,3 +246,15 @@ def normalize_timestamps(
     )
     unsure = (F.col("status") == "ok") & (F.col("posterior") < min_posterior)
     return out.withColumns({"status": F.when(unsure, "ambiguous").otherwise(F.col("status")), "utc_micros": F.when(~unsure, F.col("utc_micros"))})
+
+
+def learned_orders(docs: DataFrame, catalog: DataFrame, **columns) -> DataFrame:
+    """(source_name, stated_order, learned_order, n_dmy, n_mdy) of each source with all-number dates: the order that the mixture finds without being
+    told, beside the stated one. The stated order decides where there is one; this shows where it disagrees with the values. Ties learn nothing."""
+    blind = catalog.withColumn("date_order", F.lit(None).cast("string"))
+    found = normalize_timestamps(docs, blind, **columns)
+    source = columns.get("source_col", "source_name")
+    votes = found.filter(F.col("utc_micros").isNotNull()).groupBy(F.col(source).alias("source_name")).agg(F.count_if(F.col("format") == "numeric_dmy").alias("n_dmy"), F.count_if(F.col("format") == "numeric_mdy").alias("n_mdy")).filter("n_dmy + n_mdy > 0")
+    learned = F.when(F.col("n_dmy") > F.col("n_mdy"), "dmy").when(F.col("n_mdy") > F.col("n_dmy"), "mdy")
+    stated = catalog.groupBy("source_name").agg(F.min(F.struct("time_zone", "date_order")).alias("c")).select("source_name", F.col("c.date_order").alias("stated_order"))
+    return votes.join(stated, "source_name", "left").select("source_name", "stated_order", learned.alias("learned_order"), "n_dmy", "n_mdy")

@@ -13,7 +13,7 @@ from quern.domain import load
 from quern.functions import text as tx
 from quern.functions.metrics import ratio
 from quern.operators import dedup, quality, scoring, upsert
-from quern.operators.timestamps import normalize_timestamps
+from quern.operators.timestamps import learned_orders, normalize_timestamps
 from quern.oracle import AS_OF, chain, nss
 from quern.oracle import ratio as sql_ratio
 from quern.plans import cards, marts, staging
@@ -111,6 +111,12 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.filter(F.col("utc_micros").isNotNull()).select("document_id", "utc_micros")
 
 
+@query("p6_orders")
+def p6_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The date order that the mixture learns for each source without being told, beside the one that the catalogue states."""
+    return learned_orders(spread(table(spark, sf_dir, "raw_documents")), table(spark, sf_dir, "source_catalog"))
+
+
 @query("p6_status")
 def p6_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How the texts of each source were read."""

@@ -7,7 +7,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quern.operators.timestamps import normalize_timestamps, readings
+from quern.operators.timestamps import learned_orders, normalize_timestamps, readings
 
 UTC = dt.UTC
 
@@ -92,3 +92,19 @@ def test_empty_table_and_clashing_columns(spark):
     one = spark.createDataFrame([(1, "2025-05-03T11:08:33Z", "a", None, "x", "y", "z")] * 2, docs.schema)
     assert [r.utc_micros for r in normalize_timestamps(one, catalog).collect()] == [micros(2025, 5, 3, 11, 8, 33)] * 2
     assert normalize_timestamps(one.withColumn("published_at", F.lit("9" * 100_000)), catalog).first().status == "unreadable"
+
+
+def test_orders_are_learned_against_what_is_stated(spark):
+    rows, at = [], dt.datetime(2025, 3, 12, 12)
+    for i in range(60):
+        day = dt.datetime(2025, 3, 1 + i % 12, 9)
+        rows += [(i, f"{day.day:02d}/{day.month:02d}/2025 09:00", "d", at), (1000 + i, f"{day.month:02d}/{day.day:02d}/2025 09:00", "m", at), (2000 + i, f"{day.month:02d}/{day.day:02d}/2025 09:00", "wrong", at)]
+    rows += [(3000, "14/03/2025 09:00", "d", at), (3001, "03/14/2025 09:00", "m", at), (3002, "03/14/2025 09:00", "wrong", at), (3003, "2025-03-01 09:00:00", "iso", at), (3004, None, None, None)]
+    docs = spark.createDataFrame(rows, "document_id long, published_at string, source_name string, ingested_at timestamp")
+    catalog = spark.createDataFrame([("d", "UTC", None), ("m", "UTC", "mdy"), ("wrong", "UTC", "dmy"), ("iso", "UTC", "dmy")], "source_name string, time_zone string, date_order string")
+    got = {r.source_name: (r.stated_order, r.learned_order) for r in learned_orders(docs, catalog).collect()}
+    assert got == {"d": (None, "dmy"), "m": ("mdy", "mdy"), "wrong": ("dmy", "mdy")}
+    # Without a stated order the mixture decides each contested date.
+    found = {r.document_id: r for r in normalize_timestamps(docs, catalog).collect()}
+    assert found[0].utc_micros == micros(2025, 3, 1, 9) and found[4].utc_micros == micros(2025, 3, 5, 9) and found[4].status == "ok"
+    assert found[2004].utc_micros == micros(2025, 5, 3, 9)  # the stated order decides, right or wrong
