@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.session import materialize
+from quern.session import broadcast_if_small, materialize
 
 DOCS_PER_BUCKET = 20_000
 
@@ -137,7 +137,8 @@ def mix_sources(tokens: DataFrame, targets: DataFrame, places: DataFrame, total_
     """tokens: from counted(). targets: (source, target_share, max_repeats). places: (source, domain, language) for the tree.
 
     total_tokens None takes the largest total at which every source that has documents reaches its share. A larger total makes
-    short sources give all they may and hands their shortage on.
+    short sources give all they may and hands their shortage on. The targets are a list that someone writes: it, and one row of sums for each source
+    in it, are held on the driver, about 200 bytes a source. Sources without a target never come there.
     """
     spark = tokens.sparkSession
     available = {r.source: (r.t, r.n) for r in tokens.join(targets.select("source").distinct(), "source", "left_semi").groupBy("source").agg(F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("n")).collect()}
@@ -156,7 +157,7 @@ def mix_sources(tokens: DataFrame, targets: DataFrame, places: DataFrame, total_
     part = budget.withColumns({"whole": F.when(F.col("available_tokens") > 0, F.least(F.floor(F.col("budget_tokens") / F.col("available_tokens")), F.col("max_repeats").cast("long"))).otherwise(0)})
     part = part.withColumn("rest", F.when(F.col("whole") < F.col("max_repeats"), F.col("budget_tokens") - F.col("whole") * F.col("available_tokens")).otherwise(0.0))
     order = F.xxhash64(F.col("source"), F.col("whole"), F.lit(seed), F.col("doc"))
-    placed = tokens.join(F.broadcast(part.select("source", "whole", "rest")), "source").withColumn("order", order).withColumn("bucket", F.floor((F.col("order").cast("double") + 2.0**63) / (2.0**64) * buckets).cast("long"))
+    placed = tokens.join(broadcast_if_small(part.select("source", "whole", "rest"), len(rows), 100), "source").withColumn("order", order).withColumn("bucket", F.floor((F.col("order").cast("double") + 2.0**63) / (2.0**64) * buckets).cast("long"))
     sums = placed.groupBy("source", "bucket").agg(F.sum("tokens").alias("in_bucket"))
     before = sums.withColumn("before", F.coalesce(F.sum("in_bucket").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     running = F.sum("tokens").over(Window.partitionBy("source", "bucket").orderBy("order", "doc").rowsBetween(Window.unboundedPreceding, 0))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import boilerplate, forest, langid, leakage, mixing, neardup, pii, textstats, truncation
+from quern.operators.timestamps import normalize_timestamps
 from quern.session import spread
 from quern.session import table as read_table
 
@@ -28,6 +29,14 @@ def _first_published(text: str = "published_at", arrival: str = "ingested_at"):
     return F.coalesce(F.to_date(stated), F.to_date(F.col(arrival)))
 
 
+def _published(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+    """(id, day): the UTC date of publication in any form it was written, or of arrival where it names no instant."""
+    read = normalize_timestamps(docs, table(spark, sf_dir, "source_catalog")).select(F.col("document_id").alias("id"), "utc_micros")
+    arrived = docs.select(F.col("document_id").alias("id"), "ingested_at")
+    days = read.join(arrived, "id").select("id", F.to_date(F.coalesce(F.timestamp_micros("utc_micros"), F.col("ingested_at"))).alias("day"))
+    return days.groupBy("id").agg(F.min("day").alias("day"))
+
+
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A case is defined by rows alone, so clusters and dates are counted but not required to be several."""
     docs = table(spark, sf_dir, "raw_documents")
@@ -38,7 +47,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines repeated over different documents and dates, by source."""
     docs = table(spark, sf_dir, "raw_documents")
-    found = boilerplate.repeated_lines(docs, date_col=_first_published())
+    found = boilerplate.repeated_lines(docs, dates=_published(spark, sf_dir, docs))
     return found.groupBy(F.col("source").alias("source_name")).agg(
         F.count(F.lit(1)).alias("repeated_lines"), F.max("n_rows").alias("most_rows"), F.max("n_clusters").alias("most_clusters"), F.max("n_dates").alias("most_dates")
     )
@@ -46,7 +55,7 @@ def p1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "raw_documents")
-    lines = boilerplate.repeated_lines(docs, date_col=_first_published())
+    lines = boilerplate.repeated_lines(docs, dates=_published(spark, sf_dir, docs))
     return boilerplate.remove_repeated_lines(docs, lines).select("document_id", "body", "removed_lines")
 
 
@@ -171,6 +180,11 @@ def p9_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mix(spark, sf_dir).draw.withColumnRenamed("doc", "doc_id")
 
 
+def p9_draw_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The draw at a total of the whole corpus: small sources come up to their cap, and what they lack is drawn from their siblings."""
+    return _mix(spark, sf_dir, 1.0).draw.withColumnRenamed("doc", "doc_id")
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return textstats.text_statistics(table(spark, sf_dir, "documents")).filter(~F.col("text_kind").isin("prose", "empty")).select("doc_id", "text_kind")
 
@@ -179,7 +193,7 @@ def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return textstats.text_statistics(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_lines": p1_lines, "p1_clean": p1_clean, "p2_found": p2_found, "p2_rates": p2_rates, "p3_found": p3_found, "p3_documents": p3_documents, "p3_segments": p3_segments, "p4_found": p4_found, "p5_found": p5_found, "p5_redacted": p5_redacted, "p7_found": p7_found, "p7_groups": p7_groups, "p7_links": p7_links, "p8_found": p8_found, "p8_passages": p8_passages, "p8_clean": p8_clean, "p9_draw": p9_draw, "p9_shares": p9_shares, "p9_shares_full": p9_shares_full, "p10_found": p10_found, "p10_statistics": p10_statistics}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_lines": p1_lines, "p1_clean": p1_clean, "p2_found": p2_found, "p2_rates": p2_rates, "p3_found": p3_found, "p3_documents": p3_documents, "p3_segments": p3_segments, "p4_found": p4_found, "p5_found": p5_found, "p5_redacted": p5_redacted, "p7_found": p7_found, "p7_groups": p7_groups, "p7_links": p7_links, "p8_found": p8_found, "p8_passages": p8_passages, "p8_clean": p8_clean, "p9_draw": p9_draw, "p9_draw_full": p9_draw_full, "p9_shares": p9_shares, "p9_shares_full": p9_shares_full, "p10_found": p10_found, "p10_statistics": p10_statistics}
 
 _LINES = r"""
 lines AS (
