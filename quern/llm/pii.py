@@ -1,8 +1,9 @@
 """Personal information in free text: found by a semi-Markov conditional random field, replaced by typed placeholders.
 
-Candidate segments (number-like, mail-like and street-like spans, pairs of words that may be a name) are proposed by shape alone.
-The model scores whole candidates: their digits, grouping and separators, the words around them, street and house parts, the roles
-of both words of a name. Dynamic programming over the candidates' boundaries, each at most MOST_CHARS long, chooses
+Candidate segments are proposed by shape alone, with several boundaries for one place: a run of digit groups also without its first or last groups, an
+address also without its last parts, neighbouring pairs of words that may be a name and longer spans around them (a middle word, particles).
+The model scores whole candidates: their digits, grouping and separators, whether more of the same stands just outside, the words around them, street
+and house parts, the roles of the words of a name. Dynamic programming over the candidates' boundaries, each at most MOST_CHARS long, chooses
 boundaries and types together: the best set of segments that don't overlap; text outside segments scores 0. Training maximises
 the likelihood of labelled sentences (pii_training) with the forward and backward sums of the same lattice.
 
@@ -36,7 +37,9 @@ PLACEHOLDERS = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID_NUMBER
 
 _MAIL = re.compile(r"[^\W_][\w.+\-]*\s?(?:@|\(at\)|\[at\])\s?[^\W_][\w\-]*(?:(?:\.|\s(?:dot|titik|punto|point)\s|\s?[(\[]dot[)\]]\s?)[\w\-]+)*", re.I)
 _NUMBER = re.compile(r"(?<![\w.,/$€-])(?:[XYZ]\d|\(\+?\d{1,4}\)\s?\d|\+?\d)(?:[\d()]|[ .\-/]{1,2}(?=[\d(]))*\d(?:-?[A-Z])?(?![\w]|[.,]\d)")
-_NO = r"(?:n(?:o|omor|ro|úm|um|º|°)\b\.?\s*|n[º°]\s*)?"
+_NO = r"(?:(?:n(?:o|omor|ro|úm|um|º|°)|kav(?:ling)?)\b\.?\s*|n[º°]\s*)?"
+#: A mail address that is spelt out whole.
+_SPELT = re.compile(r"\b[^\W_]+(?:\s(?:dot|titik|punto|point)\s[^\W_]+)*\s(?:at|arroba|arobase)\s[^\W_]+(?:\s(?:dot|titik|punto|point)\s[^\W_]{2,})+", re.I)
 _STREET = [
     re.compile(r"\b(?P<cue>jl|jln|jalan|gang|gg|dusun|kampung|kp)\b\.?\s+(?:[^\W\d_][\w'’\-]*\s+){1,5}?(?:blok\s*\w{1,4}\s+)?" + _NO + r"\d{1,4}[a-z]?\b(?:\s*,?\s*(?:rt|rw)\b\.?\s*\d{1,3}(?:\s*/\s*(?:rw\s*)?\d{1,3})?)*(?:\s*,?\s*no(?:mor)?\b\.?\s*\d{1,4})?", re.I),
     re.compile(r"(?<![\w.,$€£:])(?:(?:flat|apt|unit|suite)\.?\s*\d+\w?,?\s*)?\d{1,4}[a-z]?\s+(?:[^\W\d_][\w'’\-]*\s+){1,4}?(?P<cue>street|lane|road|avenue|drive|close|court|ave|rd|st|ln)\b", re.I),
@@ -44,13 +47,28 @@ _STREET = [
     re.compile(r"(?<![\w.,$€:])\d{1,4}(?:\s?(?:bis|ter)\b)?,?\s+(?P<cue>rue|avenue|boulevard|impasse|allée|chemin|place)\s+(?:(?:d[eu]s?|la|le|les|l['’])\s*)*[^\W\d_][\w'’\-]*(?:\s+(?-i:[A-ZÀ-Ý])[\w'’\-]*)*", re.I),
 ]
 _PAIR = re.compile(r"(?<![\w@.])([^\W\d_]{2,}(?:['’\-][^\W\d_]+)*)(,?)[ \t ]+(?=([^\W\d_]{2,}(?:['’\-][^\W\d_]+)*)(?![\w@]))")
+_LONGER = re.compile(r"(?<![\w@.])([^\W\d_]{2,}(?:['’\-][^\W\d_]+)*)((?:[ \t ]+(?:van|der|den|de|del|della|di|da|dos|bin|binti|al|el|la|von|ter)){1,3}|[ \t ]+[^\W\d_]{1,}\.?)[ \t ]+(?=([^\W\d_]{2,}(?:['’\-][^\W\d_]+)*)(?![\w@]))")
+_GROUP = re.compile(r"[+(]?\(?\d+\)?(?:-?[A-Z]\b)?")
 _WORDS = re.compile(r"[^\W_]+|[@:/$€#]")
 _DIGIT_RUN = re.compile(r"\d[\d .\-/()]{5,}[\d]")
 
 _SMALL = {"de", "del", "de la", "la", "las", "los", "el", "du", "des", "le", "les", "rue", "avenue", "calle", "avenida", "boulevard", "bis", "ter", "no", "rt", "rw", "blok", "nomor", "núm", "flat", "jl", "jln", "jalan", "gang", "gg"}
 #: Words that may open an address; a name may follow the second list even if neither of its words has a known role.
 STREET_CUES = ("jl", "jln", "jalan", "gang", "gg", "dusun", "kampung", "kp", "street", "lane", "road", "avenue", "drive", "court", "close", "ave", "rd", "st", "ln", "calle", "avenida", "avda", "av", "c/", "plaza", "paseo", "rue", "boulevard", "impasse", "allée", "chemin", "place")
-NAME_CUES = ("penulis", "laporan", "atas nama", "account of", "held by", "au nom de", "a nombre de", "texte de", "texto de")
+NAME_CUES = ("penulis", "laporan", "atas nama", "account of", "held by", "au nom de", "a nombre de", "texte de", "texto de", "name is", "nama saya", "me llamo", "m'appelle", "reporter", "reportera", "reportero", "jurnalis", "journalist", "dr", "mr", "mrs", "ms", "mme", "señor", "señora", "monsieur", "madame")
+
+
+_PARTICLES = re.compile(r"(?:(?:van|der|den|de|del|della|di|da|dos|bin|binti|al|el|la|von|ter)\s*)+")
+
+
+def _boundaries(m: re.Match) -> list[tuple[int, int, str]]:
+    """(start, end, on which side more groups follow): a run of digit groups, and the same without up to two groups at either end."""
+    out = [(m.start(), m.end(), "")]
+    groups = [(m.start() + g.start(), m.start() + g.end()) for g in _GROUP.finditer(m.group())]
+    for k in (1, 2):
+        if len(groups) > k:
+            out += [(groups[k][0], m.end(), "left"), (m.start(), groups[-1 - k][1], "right")]
+    return out
 
 
 def _shape(word: str) -> str:
@@ -74,45 +92,65 @@ class Segmenter:
 
         for m in _MAIL.finditer(text):
             out.append((m.start(), m.end(), "email", ["bias:e", "at:" + ("@" if "@" in m.group() else "spelt"), "dots:" + str(min(2, len(re.findall(r"\.|dot", m.group().lower().split("@")[-1].split("at", 1)[-1]))))]))
+        if " at " in low or " arroba " in low or " arobase " in low:
+            for m in _SPELT.finditer(text):
+                last = m.group().lower().split()[-1]
+                out.append((m.start(), m.end(), "email", ["bias:e", "at:word", f"top:{last if last in ('com', 'org', 'net', 'id', 'es', 'fr', 'test', 'example', 'invalid') else 'other'}"]))
         for m in _NUMBER.finditer(text):
-            s = m.group()
-            digits = sum(c.isdigit() for c in s)
-            if digits < 7 or m.end() - m.start() > 40:
-                continue
-            groups = "-".join(str(len(g)) for g in re.findall(r"\d+", s))
-            seps = "".join(sorted(set(re.sub(r"[\dA-Z]", "", s))))
-            before, after = around(m.start(), m.end())
-            lead = re.sub(r"\D", "", s)
-            f = [f"n:{digits}", f"groups:{groups}", f"seps:{seps}", f"plus:{'+' in s}", f"lead1:{lead[:1]}", f"lead2:{lead[:2]}", f"tail:{s[-1].isalpha()}", f"head:{s[0].isalpha()}", f"n+lead:{digits}:{lead[:1]}", f"after:{after}", f"alone:{not before and after == '$'}", f"n+seps:{digits}:{seps}"]
-            f += [f"w{i}:{w}" for i, w in enumerate(reversed(before))] + [f"near:{w}" for w in before]
-            for t in ("phone", "id_number"):
-                out.append((m.start(), m.end(), t, [f"{t}|{x}" for x in ["bias", *f]]))
+            for start, end, more in _boundaries(m):
+                s = text[start:end]
+                digits = sum(c.isdigit() for c in s)
+                if digits < 7 or end - start > 40:
+                    continue
+                groups = "-".join(str(len(g)) for g in re.findall(r"\d+", s))
+                seps = "".join(sorted(set(re.sub(r"[\dA-Z]", "", s))))
+                before, after = around(start, end)
+                lead = re.sub(r"\D", "", s)
+                f = [f"n:{digits}", f"groups:{groups}", f"seps:{seps}", f"plus:{'+' in s}", f"lead1:{lead[:1]}", f"lead2:{lead[:2]}", f"tail:{s[-1].isalpha()}", f"head:{s[0].isalpha()}", f"n+lead:{digits}:{lead[:1]}", f"after:{after}", f"alone:{not before and after == '$'}", f"n+seps:{digits}:{seps}"]
+                f += [f"w{i}:{w}" for i, w in enumerate(reversed(before))] + [f"near:{w}" for w in before]
+                if more:
+                    f += [f"more:{more}", f"n+more:{digits}:{more}"]
+                for t in ("phone", "id_number"):
+                    out.append((start, end, t, [f"{t}|{x}" for x in ["bias", *f]]))
         for k, pattern in enumerate(_STREET):
             for m in pattern.finditer(text):
                 if m.end() - m.start() > MOST_CHARS:
                     continue
-                s = m.group()
-                words = s.split()
-                inner = [w for w in re.findall(r"[^\W\d_][\w'’\-]*", s) if w.lower() not in _SMALL]
-                before, after = around(m.start(), m.end())
                 cue = (m.group("cue") or "c/").lower()
-                f = [f"cue:{cue}", f"cue+no:{cue}:{bool(re.search(_NO[:-1], s, re.I))}", f"no:{bool(re.search(r'n(?:o|omor|um|úm)[ .]', s, re.I))}", f"rt:{bool(re.search(r'r[tw][ .]', s, re.I))}", f"unit:{bool(re.search(r',|blok|flat', s, re.I))}", f"size:{min(8, len(words))}", f"after:{after}"]
-                f += [f"small:{w.lower()}" for w in words if w.lower() in ("di", "ke", "dari", "yang", "dan", "the", "to", "of", "in", "para", "terus", "although")]
-                f += [f"lower:{k}:{min(3, sum(w[0].islower() for w in inner))}", f"kind:{k}"]
-                out.append((m.start(), m.end(), "address", [f"address|{x}" for x in ["bias", *f, *[f"near:{w}" for w in before[-2:]]]]))
-        for m in _PAIR.finditer(text):
-            a, comma, b = m.group(1), m.group(2), m.group(3)
-            ra, rb = self.roles.get(a.lower(), "n"), self.roles.get(b.lower(), "n")
-            sa, sb = _shape(a), _shape(b)
-            if ra == rb == "n" and (not cued or comma or "l" in (sa, sb) or min(len(a), len(b)) < 4):
-                continue
-            start, end = m.start(1), m.start(3) + len(b)
-            before, after = around(start, end)
-            if ra == rb == "n" and not any(c.split()[-1] in before[-2:] for c in NAME_CUES):
-                continue
-            roles, shapes = f"{ra}{rb}{comma}", sa + sb
-            f = [f"roles:{roles}", f"shapes:{shapes}", f"roles+shapes:{roles}:{shapes}", f"after:{after}", f"roles+prev:{roles}:{before[-1] if before else '^'}", f"whole:{not before and after == '$'}"] + [f"w{i}:{w}" for i, w in enumerate(reversed(before[-2:]))]
-            out.append((start, end, "name", [f"name|{x}" for x in ["bias", *f]]))
+                whole = m.group()
+                # Also without its last parts, as long as a number is left.
+                cuts = [len(whole), *[x.start() for x in re.finditer(r"\s*,", whole) if any(ch.isdigit() for ch in whole[: x.start()])]]
+                for size in cuts:
+                    s = whole[:size]
+                    words = s.split()
+                    inner = [w for w in re.findall(r"[^\W\d_][\w'’\-]*", s) if w.lower() not in _SMALL]
+                    before, after = around(m.start(), m.start() + size)
+                    f = [f"cue:{cue}", f"cue+no:{cue}:{bool(re.search(_NO[:-1], s, re.I))}", f"no:{bool(re.search(r'(?:n(?:o|omor|um|úm)|kav)[ .]', s, re.I))}", f"rt:{bool(re.search(r'r[tw][ .]', s, re.I))}", f"unit:{bool(re.search(r',|blok|flat', s, re.I))}", f"size:{min(8, len(words))}", f"after:{after}"]
+                    f += [f"small:{w.lower()}" for w in words if w.lower() in ("di", "ke", "dari", "yang", "dan", "the", "to", "of", "in", "para", "terus", "although")]
+                    f += [f"lower:{k}:{min(3, sum(w[0].islower() for w in inner))}", f"kind:{k}"] + (["more:part"] if size < len(whole) else [])
+                    out.append((m.start(), m.start() + size, "address", [f"address|{x}" for x in ["bias", *f, *[f"near:{w}" for w in before[-2:]]]]))
+        for pattern in (_PAIR, _LONGER):
+            for m in pattern.finditer(text):
+                a, between, b = m.group(1), m.group(2), m.group(3)
+                ra, rb = self.roles.get(a.lower(), "n"), self.roles.get(b.lower(), "n")
+                sa, sb = _shape(a), _shape(b)
+                start, end = m.start(1), m.start(3) + len(b)
+                kind = ""
+                if pattern is _LONGER:
+                    if "l" in (sa, sb) or (between.strip()[:1].islower() and not _PARTICLES.fullmatch(between.strip().lower())):
+                        continue
+                    kind = "particle" if between.strip()[:1].islower() else "middle"
+                    if kind == "middle" and (ra not in "gb" or rb not in "fb"):
+                        continue
+                    between = ""
+                if ra == rb == "n" and (not cued or between or "l" in (sa, sb) or min(len(a), len(b)) < 4):
+                    continue
+                before, after = around(start, end)
+                if ra == rb == "n" and not any(c.split()[-1] in before[-2:] for c in NAME_CUES):
+                    continue
+                roles, shapes = f"{ra}{rb}{between}{kind}", sa + sb
+                f = [f"roles:{roles}", f"shapes:{shapes}", f"roles+shapes:{roles}:{shapes}", f"after:{after}", f"roles+prev:{roles}:{before[-1] if before else '^'}", f"whole:{not before and after == '$'}"] + [f"w{i}:{w}" for i, w in enumerate(reversed(before[-2:]))]
+                out.append((start, end, "name", [f"name|{x}" for x in ["bias", *f, *([f"long:{kind}"] if kind else [])]]))
         out.sort(key=lambda c: (c[1], c[0]))
         return out
 
@@ -187,7 +225,13 @@ def train(seed: int = 11, epochs: int = 6, rate: float = 0.3, penalty: float = 1
     for text, gold in sentences(seed):
         c = model.candidates(text)
         if c:
-            truth = [any(t == gt and min(b, gb) - max(a, ga) >= (0.4 if gt == "address" else 0.8) * max(b - a, gb - ga) for ga, gb, gt in gold) for a, b, t, _ in c]
+            # Of the boundaries proposed for a place one is right: the one that covers the segment best.
+            truth = [False] * len(c)
+            for ga, gb, gt in gold:
+                cover = [(min(b, gb) - max(a, ga)) / (max(b, gb) - min(a, ga)) for a, b, _, _ in c]
+                same = [i for i, x in enumerate(c) if x[2] == gt and cover[i] >= (0.4 if gt == "address" else 0.8)]
+                if same:
+                    truth[max(same, key=lambda i: cover[i])] = True
             data.append((c, truth))
     weights, squares = defaultdict(float), defaultdict(float)
     model.weights = weights
@@ -216,7 +260,7 @@ class _Triggers:
             self.auto.add_word(w, ("cue", len(w)))
         for w in STREET_CUES:
             self.auto.add_word(w, ("street", len(w)))
-        for w in ("@", "(at)", "[at]"):
+        for w in ("@", "(at)", "[at]", *[f" {dot} {top}" for dot in ("dot", "titik", "punto", "point") for top in ("com", "org", "net", "id", "es", "fr", "co")]):
             self.auto.add_word(w, ("at", len(w)))
         self.auto.make_automaton()
 
@@ -328,11 +372,9 @@ def induced_names(docs: DataFrame, listed: dict[str, str], author_col: str = "au
     return {w: "b" if len(r) > 1 else next(iter(r)) for w, r in found.items()}
 
 
-def listed_names(names: DataFrame, most: int = 1_000_000) -> dict[str, str]:
-    """Lower-case name -> role from (name, name_kind); most bounds what is taken to the executors."""
-    rows = names.select(F.lower(F.trim("name")).alias("name"), F.col("name_kind").alias("kind")).filter(F.col("name").isNotNull() & (F.col("name") != "")).distinct().limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"the name list holds more than {most} names")
+def listed_names(names: DataFrame) -> dict[str, str]:
+    """Lower-case name -> role from (name, name_kind): all of the list, about 100 bytes a name where it is held."""
+    rows = names.select(F.lower(F.trim("name")).alias("name"), F.col("name_kind").alias("kind")).filter(F.col("name").isNotNull() & (F.col("name") != "")).distinct().collect()
     out: dict[str, str] = {}
     for r in rows:
         role = "g" if r.kind == "given" else "f"

@@ -13,13 +13,14 @@ TYPES = ("email", "phone", "id_number", "address", "name")
 
 _CARRIERS = {
     "email": ["email saya {}", "kirim ke {} ya", "balas ke {}.", "surel: {}", "my address is {}, thanks", "write me at {} please", "mail {} today", "contact {}", "escribe a {} por favor", "mi correo es {}", "mon courriel {} merci", "répondez à {}", "{}", "by {}", "bukti dari {} tadi"],
-    "phone": ["hubungi {} ya", "wa {}", "telepon saya di {}", "nomor hp {} aktif", "no. telp {}", "nomor terdaftar {} tidak dapat kode", "call me on {}", "phone {}", "my number is {} thanks", "text {} after six", "registered number {}", "llame al {}", "mi teléfono {} gracias", "el número {}", "appelez le {}", "mon numéro {} merci", "joindre au {}", "{}"],
-    "id_number": ["nik {} ditolak", "ktp saya {}", "ktp {} diunggah", "KTP {}", "nomor identitas {}", "npwp {} tidak valid", "no identitas {} salah", "my id {} was refused", "ssn {}", "social security {}", "id no. {} uploaded", "tax number {}", "mi dni {}", "documento {} erróneo", "nie {}", "numéro de sécurité sociale {}", "ma carte {} refusée", "social number {} wrong"],
+    "phone": ["wa saya {}", "whatsapp saya {}, terima kasih", "sms ke {}", "tlp {}, tolong", "nomor saya {}", "call {} tonight", "ring {} 2 times", "hubungi {} 3 kali", "hp {} 24 jam", "appelez le {} 2 fois", "hubungi {} ya", "wa {}", "telepon saya di {}", "nomor hp {} aktif", "no. telp {}", "nomor terdaftar {} tidak dapat kode", "call me on {}", "phone {}", "my number is {} thanks", "text {} after six", "registered number {}", "llame al {}", "mi teléfono {} gracias", "el número {}", "appelez le {}", "mon numéro {} merci", "joindre au {}", "{}"],
+    "id_number": ["nik {} 2 kali ditolak", "passport or id {} please", "nik {} ditolak", "ktp saya {}", "ktp {} diunggah", "KTP {}", "nomor identitas {}", "npwp {} tidak valid", "no identitas {} salah", "my id {} was refused", "ssn {}", "social security {}", "id no. {} uploaded", "tax number {}", "mi dni {}", "documento {} erróneo", "nie {}", "numéro de sécurité sociale {}", "ma carte {} refusée", "social number {} wrong"],
     "address": ["alamat saya {}", "tinggal di {}", "warung di {} dekat masjid", "survei ke {} besok", "kirim ke {}", "i live at {}", "the shop is at {} near the bakery", "send it to {} tomorrow", "vivo en {}", "la tienda está en {}", "j'habite au {}", "la boutique est au {} près du parc"],
-    "name": ["penulis: {}", "laporan {}", "oleh {}", "rekening atas nama {} diblokir", "pak {} datang", "bu {} sabar", "menurut {}, pemilik", "saya {}, mitra", "by {}", "i am {}, a partner", "the account of {} is blocked", "according to {}, who runs it", "mrs {} helped", "texte de {}", "par {}", "au nom de {} reste", "selon {}, gérante", "según {}, encargada", "a nombre de {} sigue", "{}", "(pasar/{})", "{} (kontributor)", "{} (agen)"],
+    "name": ["my name is {}", "nama saya {}", "reporter: {}", "dr. {} called", "mr {} called back", "me llamo {} y", "je m'appelle {}", "madame {} attend", "jurnalis {}", "señora {} espera", "penulis: {}", "laporan {}", "oleh {}", "rekening atas nama {} diblokir", "pak {} datang", "bu {} sabar", "menurut {}, pemilik", "saya {}, mitra", "by {}", "i am {}, a partner", "the account of {} is blocked", "according to {}, who runs it", "mrs {} helped", "texte de {}", "par {}", "au nom de {} reste", "selon {}, gérante", "según {}, encargada", "a nombre de {} sigue", "{}", "(pasar/{})", "{} (kontributor)", "{} (agen)"],
 }
 
 _NEGATIVES = [
+    "order {card}", "order number {card} is late", "nomor pesanan 08{long}", "no. pesanan {long}", "pesanan 08{long} dikirim", "pedido {long} en camino", "commande {long} en retard", "invoice {card}", "resi {long}", "tracking 08{long}", "my name is not on it", "nama saya salah", "reporter datang lagi", "dr. {last} called", "mr {last} left", "look at the dot on it", "about {small} of them stood in st", "{small} percent rise in rd", "di titik itu saja",
     "potongan Rp {amt} nambah", "saldo Rp{amt} raib", "sebesar {amt} ribu", "a fee of ${amt} again", "{amt} dollars left", "por {amt} euros", "{amt} € de plus", "nomor referensi {long} sudah disimpan", "reference number {long} is pending", "kode struk TRX{long} tidak ada",
     "receipt code TRX{long} was not found", "kode mesin {long} dilaporkan", "la référence {long} reste", "la referencia {long} sigue", "order {long}", "versi {small}.{small}.{small} sama saja", "version {small}.{small} is slow", "pukul {h}.{m}", "at {h}:{m} today", "tiket {long} ditutup", "ticket no. {long}",
     "di {place} antrean {small} orang", "sekitar {small} warga {place}", "about {small} villagers near {place}", "à {place} le guichet numéro {small}", "en {place} el punto número {small}", "kepala dusun di {place} melapor", "pasar {place} buka", "kantor {place} menerima", "gerai nomor {small}", "outlet number {small} closed", "the {place} office reported",
@@ -57,6 +58,8 @@ class _Maker:
         local = self.r.choice([f"{a}.{b}", f"{a}{self.r.randint(1, 99)}", f"{b}_{a}", f"{a}+kios", f"toko.{a}", f"{a[0]}{b}"])
         d = self.r.choice(_DOMAINS)
         kind = self.r.random()
+        if kind < 0.05:
+            return f"{a} dot {b} at {d.split('.')[0]} dot {self.r.choice(['com', 'org', 'test', 'example'])}"
         if kind < 0.12:
             return f"{local} [at] {d}"
         if kind < 0.24:
@@ -70,7 +73,7 @@ class _Maker:
         sep = r.choice(["", " ", "-", "."])
         return r.choice([
             "08" + self.group("4" + tail, [2, 4], sep), f"+62 8{self.group('4' + tail, [2, 4], r.choice([' ', '-']))}", f"(+62) 8{self.group('4' + tail, [2, 4], ' ')}", "628" + "4" + tail,
-            f"(0{r.choice(['21', '274', '299', '31', '499'])}) {self.digits(r.choice([6, 7]))}", f"{self.digits(3)}{r.choice('-. ')}555{r.choice('-. ')}01{self.digits(2)}", f"+1 {self.digits(3)} 555 01{self.digits(2)}", f"1{self.digits(3)}55501{self.digits(2)}",
+            f"(0{r.choice(['21', '274', '299', '31', '499'])}) {self.digits(r.choice([6, 7]))}", f"{self.digits(3)}{r.choice('-. ')}555{r.choice('-. ')}01{self.digits(2)}", f"555-01{self.digits(2)}", f"+1 {self.digits(3)} 555 01{self.digits(2)}", f"1{self.digits(3)}55501{self.digits(2)}",
             f"+34 {self.group('5' + self.digits(8), [3, 3], ' ')}", self.group("5" + self.digits(8), r.choice([[3, 3], [3, 2, 2]]), r.choice(["", " ", "-"])), f"+33 1 {self.group(self.digits(8), [2, 2, 2], ' ')}", self.group("01" + self.digits(8), [2, 2, 2, 2], r.choice(["", " ", "."])),
         ])
 
@@ -87,7 +90,7 @@ class _Maker:
         s, e, u = r.choice(_STREETS), r.choice(_EN_STREETS), r.randint(1, 9)
         street = r.choice(["Street", "Lane", "Road", "Avenue", "Rd", "Ave", "St", "Drive"])
         text = r.choice([
-            f"Jl. {s} No. {n}", f"Jl. {s} Blok {r.choice('ABCDE')}{u} no.{n}", f"Jalan {s} Nomor {n}, RT 0{u}/RW 0{u}", f"Jl {s} No. {n} RT 0{u} RW 0{u}", f"Dusun {r.choice(_PLACES)} RT {u} RW {u} No. {n}", f"Gang {s} No. {n}", f"Kampung {s} RT 0{u}/0{u}", f"jln. {s} no {n}", f"Jl {s} no {n} {r.choice(_PLACES)}",
+            f"Jl. {s} No. {n}", f"Jl. {s} Kav. {n}", f"Jl {s} Kavling {n}", f"Jl. {s} Blok {r.choice('ABCDE')}{u} no.{n}", f"Jalan {s} Nomor {n}, RT 0{u}/RW 0{u}", f"Jl {s} No. {n} RT 0{u} RW 0{u}", f"Dusun {r.choice(_PLACES)} RT {u} RW {u} No. {n}", f"Gang {s} No. {n}", f"Kampung {s} RT 0{u}/0{u}", f"jln. {s} no {n}", f"Jl {s} no {n} {r.choice(_PLACES)}",
             f"{n} {e} {street}", f"Flat {u}, {n} {e} {street}", f"{n}{r.choice('ABC')} {e} {street}", f"{n} {e} {street}, {r.choice(_PLACES)}", f"calle del {e} {n}, {u}º C", f"calle {s} {n}", f"avenida {s} {n}", f"avenida del {e} núm. {n}", f"C/ {s}, {n}", f"C/ del {e}, {n}",
             f"{n} rue des {s}", f"{n} rue du {s}", f"{n} rue de la {e}", f"{n} avenue de la {e}", f"{n} bis, rue des {s}", f"{n} bis, avenue {e}", f"{n}, boulevard {s}",
         ])
@@ -96,6 +99,10 @@ class _Maker:
     def name(self) -> str:
         a, b = self.r.choice(_FIRST).title(), self.r.choice(_LAST).title()
         kind = self.r.random()
+        if 0.5 < kind < 0.56:
+            return f"{a} {self.r.choice(['van der', 'de la', 'bin', 'von', 'del'])} {b}"
+        if 0.56 <= kind < 0.6:
+            return f"{a} {self.r.choice(_FIRST).title()} {b}"
         s = f"{b}, {a}" if kind < 0.12 else (f"{b} {a}" if kind < 0.16 else f"{a} {b}")
         return s.upper() if kind > 0.86 else (s.lower() if 0.8 < kind <= 0.86 else s)
 
@@ -114,7 +121,7 @@ def sentences(seed: int = 11, per_type: int = 700, negatives: int = 1600) -> lis
             out.append((lead + before + value + after, [(start + inner[0], start + len(value) + inner[1], kind)]))
     for _ in range(negatives):
         r = m.r
-        fill = {"amt": r.choice([f"{r.randint(1, 999)}", f"{r.randint(1, 9)}.{m.digits(3)}.{m.digits(3)}", f"{r.randint(1, 99)}.500", f"{r.randint(1, 9)},{m.digits(3)}.{m.digits(2)}"]), "long": m.digits(r.choice([8, 10, 12, 14, 16, 17, 18])), "small": str(r.randint(1, 99)), "h": str(r.randint(0, 23)), "m": f"{r.randint(0, 59):02d}", "place": r.choice(_PLACES), "year": str(r.randint(2019, 2026)), "first": r.choice(_FIRST).title(), "last": r.choice(_LAST).title(), "Place": r.choice(_PLACES), "Site": r.choice(["Forum Kios", "Kanal Usaha Jaya", "Suara Desa", "Market Gazette", "Diario Abierto"])}
+        fill = {"amt": r.choice([f"{r.randint(1, 999)}", f"{r.randint(1, 9)}.{m.digits(3)}.{m.digits(3)}", f"{r.randint(1, 99)}.500", f"{r.randint(1, 9)},{m.digits(3)}.{m.digits(2)}"]), "long": m.digits(r.choice([8, 10, 12, 14, 16, 17, 18])), "card": m.group(m.digits(16), [4, 4, 4], " "), "small": str(r.randint(1, 99)), "h": str(r.randint(0, 23)), "m": f"{r.randint(0, 59):02d}", "place": r.choice(_PLACES), "year": str(r.randint(2019, 2026)), "first": r.choice(_FIRST).title(), "last": r.choice(_LAST).title(), "Place": r.choice(_PLACES), "Site": r.choice(["Forum Kios", "Kanal Usaha Jaya", "Suara Desa", "Market Gazette", "Diario Abierto"])}
         text = r.choice(_NEGATIVES)
         for k, v in fill.items():
             text = text.replace("{" + k + "}", v)
