@@ -38,8 +38,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm.neardup import circulant_table, signatures, sketcher
-from quern.llm.words import WordHashes, shingles, word_hashes
+from quern.llm.neardup import circulant_table, jaccard, signatures, sketcher
 from quern.session import broadcast_if_small, materialize, shared_dir
 
 TREES, STRIDE, DEPTH = 64, 4, 6
@@ -80,18 +79,10 @@ _ROW = "id long, day int, n_words int, text_key long, uid_key long, uid_check lo
 
 
 def _sketch(shingle: int, min_words: int):
-    """One pass over the texts: keys of all trees and the sorted distinct shingle hashes, as bytes."""
+    """One pass over the texts: keys of all trees, as bytes, and the sorted distinct shingle hashes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept: list[list[np.ndarray]] = []
-
-        def keys(sets: list[np.ndarray]) -> np.ndarray:
-            kept.append(sets)
-            return full_keys(sets)
-
-        for p in sketcher(None, shingle, min_words, keys)(batches):
-            sets = iter(kept.pop() if kept else [])
-            p["shingles"] = [None if k is None else np.unique((next(sets) >> np.uint64(32)).astype(np.uint32)).tobytes() for k in p["keys"]]
+        for p in sketcher(None, shingle, min_words, full_keys, keep_shingles=True)(batches):
             p["keys"] = [None if k is None else k.tobytes() for k in p["keys"]]
             yield p[[c.split()[0] for c in _ROW.split(", ")]]
 
@@ -195,15 +186,6 @@ def _exact_search(bounds: pd.DataFrame, read):
     return run
 
 
-def _jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
-    out = []
-    for x, y in zip(a, b):
-        p, q = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
-        common = len(np.intersect1d(p, q, assume_unique=True))
-        out.append(common / max(1, len(p) + len(q) - common))
-    return pd.Series(out, dtype=float)
-
-
 class Forest:
     """A forest kept in `path`: rows/RUN, trees/RUN (key, id, day) and exact/RUN (key, check, day), the latter two sorted by key.
 
@@ -300,7 +282,7 @@ class Forest:
         plain = [self.spark._jvm.java.net.URI(f).getPath() if f.startswith("file:") else f for f in held]
         sets = self.spark.read.parquet(*plain).filter(F.col("shingles").isNotNull()).select("id", "shingles").join(broadcast_if_small(asked, n, 48), "id")
         a, b = sets.select(F.col("id").alias("ta"), F.col("shingles").alias("xa")), sets.select(F.col("id").alias("tb"), F.col("shingles").alias("xb"))
-        return pairs.join(a, "ta").join(b, "tb").filter(F.pandas_udf(_jaccard, "double")("xa", "xb") >= self.threshold).select("tb").distinct()
+        return pairs.join(a, "ta").join(b, "tb").filter(jaccard("xa", "xb") >= self.threshold).select("tb").distinct()
 
     def _exact_keys(self, rows: DataFrame) -> DataFrame:
         """(id, day, key, check) of what a row may be known by."""

@@ -8,7 +8,8 @@ Plan. One Python pass per text writes (id, text_key, band keys) to the shared fo
 text_key and count as one from there on, so a group of copies of any size is one entry per band. Band keys are joined to
 themselves; the join is an equi-join on the key, which adaptive execution splits where a key is hot. Pairs that meet in at
 least `hits` bands are verified on the texts themselves by exact Jaccard similarity. No link between different texts is
-dropped and no bucket is capped.
+dropped and no bucket is capped. Similarity is computed from the distinct shingle hashes (32 bits each) that the one pass keeps beside the keys, so
+texts are read once and never travel with a pair.
 
 Defined results: null texts and texts of fewer than max(min_words, shingle) words take no part (group null in `groups`);
 ties and repeated rows are copies; an empty table gives no rows.
@@ -24,6 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern.llm.words import WordHashes, mix, shingles, text_key, word_hashes
 from quern.session import broadcast_if_small, materialize
@@ -89,8 +91,9 @@ def band_keys(sig: np.ndarray, bands: Bands) -> np.ndarray:
     return h.view(np.int64)
 
 
-def sketcher(bands: Bands, shingle: int, min_words: int, keys: Callable[[list[np.ndarray]], np.ndarray] | None = None) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """The Python pass: (id, text, ...) -> (id, n_words, text_key, keys, ...). Short and null texts get null keys."""
+def sketcher(bands: Bands, shingle: int, min_words: int, keys: Callable[[list[np.ndarray]], np.ndarray] | None = None, keep_shingles: bool = False) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The Python pass: (id, text, ...) -> (id, n_words, text_key, keys, ...), with keep_shingles also the sorted distinct shingle hashes as
+    bytes. Short and null texts get null keys."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo, table = WordHashes(), None
@@ -99,7 +102,7 @@ def sketcher(bands: Bands, shingle: int, min_words: int, keys: Callable[[list[np
                 part = p.iloc[a : a + 1000]
                 words = [word_hashes(t, memo) if isinstance(t, str) else None for t in part["text"]]
                 fit = [k for k, w in enumerate(words) if w is not None and len(w) >= max(min_words, shingle)]
-                tkey, kk = [None] * len(part), [None] * len(part)
+                tkey, kk, ss = [None] * len(part), [None] * len(part), [None] * len(part)
                 if fit:
                     sets = [shingles(words[k], shingle) for k in fit]
                     if keys is None:
@@ -108,13 +111,16 @@ def sketcher(bands: Bands, shingle: int, min_words: int, keys: Callable[[list[np
                         got = band_keys(signatures(sets, table, bands.rows * bands.bands), bands)
                     else:
                         got = keys(sets)
-                    for k, row in zip(fit, got):
+                    for k, row, own in zip(fit, got, sets):
                         tkey[k], kk[k] = text_key(words[k]), row
+                        if keep_shingles:
+                            ss[k] = np.unique((own >> np.uint64(32)).astype(np.uint32)).tobytes()
                 yield pd.DataFrame({
                     "id": part["id"].to_numpy(),
                     "n_words": [0 if w is None else len(w) for w in words],
                     "text_key": pd.array(tkey, dtype="Int64"),
                     "keys": kk,
+                    **({"shingles": ss} if keep_shingles else {}),
                     **{c: part[c].to_numpy() for c in part.columns if c not in ("id", "text")},
                 })
 
@@ -122,6 +128,7 @@ def sketcher(bands: Bands, shingle: int, min_words: int, keys: Callable[[list[np
 
 
 SKETCH = "id long, n_words int, text_key long, keys array<long>"
+WITH_SHINGLES = SKETCH + ", shingles binary"
 
 
 def distinct_texts(sketch: DataFrame) -> DataFrame:
@@ -138,47 +145,34 @@ def meeting_pairs(texts: DataFrame, hits: int) -> DataFrame:
     return met.groupBy("ta", "tb").agg(F.count(F.lit(1)).alias("met")).filter(F.col("met") >= hits).select("ta", "tb")
 
 
-def _jaccard(shingle: int):
-    memo = WordHashes()
+@F.pandas_udf(T.DoubleType())
+def jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Of two sets of shingle hashes in bytes."""
+    out = []
+    for x, y in zip(a, b):
+        p, q = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+        common = len(np.intersect1d(p, q, assume_unique=True))
+        out.append(common / max(1, len(p) + len(q) - common))
+    return pd.Series(out, dtype=float)
 
-    @F.pandas_udf("double")
-    def jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
-        sets: dict[str, np.ndarray] = {}
 
-        def of(t: str) -> np.ndarray:
-            if t not in sets:
-                sets[t] = np.unique(shingles(word_hashes(t, memo), shingle))
-            return sets[t]
-
-        out = []
-        for x, y in zip(a, b):
-            p, q = of(x), of(y)
-            common = len(np.intersect1d(p, q, assume_unique=True))
-            out.append(common / max(1, len(p) + len(q) - common))
-        return pd.Series(out)
-
-    return jaccard
-
-
-def verified(pairs: DataFrame, sketch: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """(ta, tb, similarity) of the pairs whose texts are at least `threshold` similar. texts: (id, text)."""
+def verified(pairs: DataFrame, sketch: DataFrame, threshold: float) -> DataFrame:
+    """(ta, tb, similarity) of the pairs of text keys whose texts are at least `threshold` similar. Only shingles of texts in a pair move."""
     pairs = materialize(pairs, "pairs")
-    keys = pairs.select(F.explode(F.array("ta", "tb")).alias("text_key")).distinct()
-    # One row stands for each text that is in a pair; only its text is read, and only such texts move.
-    chosen = materialize(sketch.join(keys, "text_key", "left_semi").groupBy("text_key").agg(F.min("id").alias("id")), "chosen")
-    body = texts.join(broadcast_if_small(chosen, chosen.count(), 80), "id").select("text_key", "text")
-    a, b = body.select(F.col("text_key").alias("ta"), F.col("text").alias("xa")), body.select(F.col("text_key").alias("tb"), F.col("text").alias("xb"))
-    scored = pairs.join(a, "ta").join(b, "tb").select("ta", "tb", _jaccard(shingle)("xa", "xb").alias("similarity"))
-    return scored.filter(F.col("similarity") >= threshold)
+    keys = materialize(pairs.select(F.explode(F.array("ta", "tb")).alias("text_key")).distinct(), "chosen")
+    # One row stands for each text; its copies collapse before they move.
+    sets = sketch.select("text_key", "shingles").join(broadcast_if_small(keys, keys.count(), 48), "text_key", "left_semi").groupBy("text_key").agg(F.first("shingles").alias("x"))
+    a, b = sets.select(F.col("text_key").alias("ta"), F.col("x").alias("xa")), sets.select(F.col("text_key").alias("tb"), F.col("x").alias("xb"))
+    return pairs.join(a, "ta").join(b, "tb").select("ta", "tb", jaccard("xa", "xb").alias("similarity")).filter(F.col("similarity") >= threshold)
 
 
-def verified_ids(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """(ta, tb) of the pairs of ids whose texts are at least `threshold` similar. texts: (id, text); only texts of pairs move."""
+def verified_ids(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(ta, tb) of the pairs of ids whose texts are at least `threshold` similar. sets: (id, shingles), id unique; only those in pairs move."""
     pairs = materialize(pairs, "pairs")
     ids = materialize(pairs.select(F.explode(F.array("ta", "tb")).alias("id")).distinct(), "chosen")
-    body = texts.join(broadcast_if_small(ids, ids.count(), 48), "id")
-    a, b = body.select(F.col("id").alias("ta"), F.col("text").alias("xa")), body.select(F.col("id").alias("tb"), F.col("text").alias("xb"))
-    return pairs.join(a, "ta").join(b, "tb").filter(_jaccard(shingle)("xa", "xb") >= threshold).select("ta", "tb")
+    some = sets.join(broadcast_if_small(ids, ids.count(), 48), "id", "left_semi")
+    a, b = some.select(F.col("id").alias("ta"), F.col("shingles").alias("xa")), some.select(F.col("id").alias("tb"), F.col("shingles").alias("xb"))
+    return pairs.join(a, "ta").join(b, "tb").filter(jaccard("xa", "xb") >= threshold).select("ta", "tb")
 
 
 @dataclass
@@ -243,8 +237,8 @@ def near_duplicates(
     """Links between different texts of at least `threshold` Jaccard similarity over runs of `shingle` words."""
     bands = bands or choose_bands(threshold)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sketch = materialize(texts.mapInPandas(sketcher(bands, shingle, min_words), SKETCH), "sketch")
-    links = materialize(verified(meeting_pairs(distinct_texts(sketch), bands.hits), sketch, texts, shingle, threshold), "links")
+    sketch = materialize(texts.mapInPandas(sketcher(bands, shingle, min_words, keep_shingles=True), WITH_SHINGLES), "sketch")
+    links = materialize(verified(meeting_pairs(distinct_texts(sketch), bands.hits), sketch, threshold), "links")
     return NearDuplicates(sketch.select("id", "text_key"), links)
 
 
@@ -269,14 +263,16 @@ def near_duplicate_groups(
     """
     bands = bands or choose_bands(threshold)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sketch = materialize(texts.mapInPandas(sketcher(bands, shingle, min_words), SKETCH), "sketch")
+    sketch = materialize(texts.mapInPandas(sketcher(bands, shingle, min_words, keep_shingles=True), WITH_SHINGLES), "sketch")
     reps = materialize(sketch.filter(F.col("text_key").isNotNull()).groupBy("text_key").agg(F.min("id").alias("id")), "reps")
-    keys = sketch.select("id", "text_key", "keys").join(broadcast_if_small(reps, reps.count(), 100), ["id", "text_key"]).select("id", "keys").dropDuplicates(["id"])
+    n_reps = reps.count()
+    own = lambda column: sketch.select("id", "text_key", column).join(broadcast_if_small(reps, n_reps, 100), ["id", "text_key"]).select("id", column).dropDuplicates(["id"])
+    keys, sets = own("keys"), own("shingles")
 
     some = keys.select(F.explode(F.slice("keys", 1, STAR_BANDS)).alias("key"), "id")
     heads = some.groupBy("key").agg(F.min("id").alias("ta"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "ta")
     star = some.join(heads, "key").filter(F.col("id") != F.col("ta")).select("ta", F.col("id").alias("tb")).distinct()
-    first = materialize(verified_ids(star, texts, shingle, threshold), "links")
+    first = materialize(verified_ids(star, sets, threshold), "links")
 
     nodes = reps.select(F.col("id").alias("u"), F.col("id").alias("label"))
     both = lambda e: e.select(F.col("ta").alias("u"), F.col("tb").alias("v")).unionByName(e.select(F.col("tb").alias("u"), F.col("ta").alias("v")))
@@ -289,7 +285,7 @@ def near_duplicate_groups(
     meet = present.withColumnRenamed("g", "ga").join(present.withColumnRenamed("g", "gb"), "key").filter(F.col("ga") < F.col("gb"))
     a, b = live.select("key", F.col("g").alias("ga"), F.col("id").alias("ta")), live.select("key", F.col("g").alias("gb"), F.col("id").alias("tb"))
     met = meet.join(a, ["key", "ga"]).join(b, ["key", "gb"]).groupBy("ta", "tb").agg(F.count(F.lit(1)).alias("met")).filter(F.col("met") >= bands.hits).select("ta", "tb")
-    links = first.unionByName(verified_ids(met, texts, shingle, threshold))
+    links = first.unionByName(verified_ids(met, sets, threshold))
     final = components(both(links), nodes).select(F.col("u").alias("rep"), F.col("label").alias("group"))
     per_text = reps.select("text_key", F.col("id").alias("rep")).join(final, "rep").select("text_key", "group")
     return sketch.select("id", "text_key").join(per_text, "text_key", "left").select("id", "group")
