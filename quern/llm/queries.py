@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quern.llm import boilerplate, forest, langid, leakage, mixing, neardup, pii, textstats, truncation
 from quern.operators.timestamps import normalize_timestamps
-from quern.session import spread
+from quern.session import materialize, spread
 from quern.session import table as read_table
 
 #: Where the vocabulary files of public tokenizers lie; a parameter of the deployment.
@@ -72,8 +72,9 @@ def p2_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def site_lines(docs: DataFrame) -> DataFrame:
-    lines = boilerplate.repeated_lines(docs, 0.002, 5, 5, 2, date_col=_first_published())
-    return boilerplate.lines_over_families(docs, lines, neardup.families(docs), 5, 0.002)
+    hashed = materialize(boilerplate.hashed_lines(docs, date_col=_first_published()), "hashed")
+    lines = boilerplate.repeated_lines(docs, 0.002, 5, 5, 2, hashed=hashed)
+    return boilerplate.lines_over_families(hashed, lines, neardup.families(docs), 5, 0.002)
 
 
 def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
