@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import html
+import unicodedata
 from collections.abc import Callable
 from functools import reduce
 
@@ -12,9 +14,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Emoji counted as praise and as complaint.
-GOOD_EMOJI, BAD_EMOJI = "👍🙏😀😍❤", "😡😠👎😢💔"
+GOOD_EMOJI = "😀😃😄😁😊🙂😍🥰😘👍👌🙏💪🔥✨⭐🌟❤️💚💙🎉🥳😻🤩💯"
+BAD_EMOJI = "😞😔😟😕🙁☹️😣😖😫😩😢😭😤😠😡🤬👎💔😑😒🤦🙄😰😨⚠️"
 #: Words that open a new clause, id and en.
-CONJUNCTIONS = ("tapi", "namun", "sedangkan", "padahal", "walaupun", "meskipun", "karena", "soalnya", "but", "however", "although", "because", "while", "whereas")
+CONJUNCTIONS = ("tapi", "tetapi", "namun", "sedangkan", "sementara", "padahal", "sehingga", "karena", "meskipun", "meski", "walaupun", "walau", "sayangnya", "selain itu", "cuma", "hanya saja", "soalnya", "but", "however", "although", "because", "while", "whereas")
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -39,10 +42,26 @@ def clauses(text: Column, least: int = 3, conjunctions: tuple[str, ...] = CONJUN
     return F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: F.length(s) >= least)
 
 
+def emoji_counts(text: Column) -> tuple[Column, Column]:
+    """How many code points of praising and of complaining emoji a text has; 0 for null. A variation selector counts in both, as it does in both lists."""
+    count = lambda chars: F.coalesce(F.length(text) - F.length(F.translate(text, chars, "")), F.lit(0))
+    return count(GOOD_EMOJI), count(BAD_EMOJI)
+
+
 def emoji_balance(text: Column) -> Column:
     """Praising less complaining emoji."""
-    count = lambda chars: F.length(text) - F.length(F.translate(text, chars, ""))
-    return F.coalesce(count(GOOD_EMOJI) - count(BAD_EMOJI), F.lit(0))
+    good, bad = emoji_counts(text)
+    return good - bad
+
+
+def unescaped(text: Column) -> Column:
+    """All HTML entities resolved and the text in NFKC form. Plain ASCII without an ampersand stays in the JVM and is returned as it is."""
+
+    @F.pandas_udf("string")
+    def resolve(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: unicodedata.normalize("NFKC", html.unescape(t)) if isinstance(t, str) else None)
+
+    return F.when(text.rlike(r"[&\x{80}-\x{10FFFF}]"), resolve(text)).otherwise(text)
 
 
 def chunks(text: Column, size: int = 180, overlap: int = 40, most: int | None = None, least_tail: int = 20) -> Column:
@@ -119,14 +138,19 @@ def truncate(text: Column, limit: int) -> Column:
 
 
 #: Parts of a text that carry no opinion, in the order they are taken out.
-BOILERPLATE = (r"(?i)baca juga\s*:[^\n]*", r"(?i)read also\s*:[^\n]*", r"(?i)dikirim dari aplikasi [^\n]*", r"(?i)posted from the [^\n]* app[^\n]*", r"(?i)(?:hak cipta )?©\s*\d{4}[^\n]*")
+BOILERPLATE = (
+    r"(?i)baca juga\s*:[^\n]*?(?=\.|\n|$)", r"(?i)simak juga\s*:[^\n]*?(?=\.|\n|$)", r"(?i)lihat juga\s*:[^\n]*?(?=\.|\n|$)", r"(?i)artikel ini telah tayang di[^\n]*", r"(?i)copyright\s*©[^\n]*", r"(?i)\(?(?:adv|advertorial|siaran pers)\)?\s*$",
+    r"(?i)editor\s*:\s*\w+[^\n]*$", r"(?i)reporter\s*:\s*\w+[^\n]*$", r"(?i)penulis\s*:\s*\w+[^\n]*$", r"(?i)sumber\s*:\s*\w+\s*$",
+    r"(?i)read also\s*:[^\n]*", r"(?i)dikirim dari aplikasi [^\n]*", r"(?i)posted from the [^\n]* app[^\n]*", r"(?i)(?:hak cipta )?©\s*\d{4}[^\n]*",
+)
 
 
 def clean_text(text: Column, boilerplate: tuple[str, ...] = BOILERPLATE) -> Column:
-    """Tags, the common entities, boilerplate and links out; white space collapsed."""
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), r"<[^>]*>", " ")
+    """Entities resolved, then tags, boilerplate and links out; white space collapsed. Entities other than these six need `unescaped` first."""
+    t = F.coalesce(text, F.lit(""))
     for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         t = F.replace(t, F.lit(entity), F.lit(char))
+    t = F.regexp_replace(t, r"<[^>]+>", " ")
     for pattern in boilerplate:
         t = F.regexp_replace(t, pattern, " ")
     t = F.regexp_replace(t, r"(?i)\b(?:https?://|www\.)\S+", " ")

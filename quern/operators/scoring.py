@@ -6,16 +6,19 @@ Everything is column arithmetic over an array of signals; a model is any functio
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.metrics import four_places
-from quern.functions.text import clauses, keyword_pattern, normalize_tokens
+from quern.functions.text import chunks, clauses, keyword_pattern, normalize_tokens
 
 Scorer = Callable[[DataFrame], DataFrame]
+#: Texts -> for each a map label -> probability.
+Classifier = Callable[[list[str]], list[dict[str, float]]]
 
 
 @dataclass(frozen=True)
@@ -93,6 +96,62 @@ def blend(docs: DataFrame, w: Weights = Weights()) -> DataFrame:
     return out.withColumn("blended_reason", reason).withColumn("needs_review", F.col("blended_reason").isNotNull())
 
 
+def run_scorer(docs: DataFrame, load: Callable[[], Classifier], text_col: str = "text", size: int = 180, overlap: int = 40, most: int | None = None, batch: int = 16, fail_soft: bool = True) -> DataFrame:
+    """(document_id, available, probabilities, entropy, n_chunks): texts cut into overlapping windows of words, classified in batches, pooled per document.
+
+    load: makes the classifier, once in each Python worker; it takes a list of texts and gives a map label -> probability for each. A worker whose
+    classifier can't be made, or fails on a batch, marks those documents as not available instead of ending the job (fail_soft).
+    most: at most so many windows of a text; all by default. Null and blank texts are classified as one empty window; documents keep their
+    windows together in one row, so pooling needs no exchange.
+    """
+    windows = docs.select("document_id", chunks(F.col(text_col), size, overlap, most).alias("chunks"))
+    schema = "document_id long, available boolean, n_chunks int, probabilities map<string,double>"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        classify, broken = None, False
+        for p in batches:
+            flat = [(i, k, c) for i, cs in enumerate(p["chunks"]) for k, c in enumerate(list(cs) or [""])]
+            pooled: list[dict[str, float]] = [{} for _ in range(len(p))]
+            mass, failed = [0.0] * len(p), [broken] * len(p)
+            for a in range(0, len(flat), batch):
+                part = flat[a : a + batch]
+                try:
+                    if classify is None and not broken:
+                        classify = load()
+                    got = [] if broken else classify([c for *_, c in part])
+                except Exception:
+                    if not fail_soft:
+                        raise
+                    broken, got = broken or classify is None, []
+                if len(got) != len(part):
+                    for i, *_ in part:
+                        failed[i] = True
+                    continue
+                for (i, k, c), probabilities in zip(part, got):
+                    w = max(1, len(c.split())) ** 0.5 / (1 + 0.12 * k)
+                    mass[i] += w
+                    for label, x in probabilities.items():
+                        pooled[i][label] = pooled[i].get(label, 0.0) + w * x
+            out = [None if bad else {label: x / m for label, x in q.items()} for q, m, bad in zip(pooled, mass, failed)]
+            yield pd.DataFrame({"document_id": p["document_id"], "available": [not bad for bad in failed], "n_chunks": [max(1, len(c)) for c in p["chunks"]], "probabilities": out})
+
+    return windows.mapInPandas(run, schema).select("document_id", "available", "n_chunks", "probabilities", F.when(F.col("available"), normalized_entropy(F.col("probabilities"))).alias("entropy"))
+
+
+def engine_mode(signals: Column) -> Column:
+    """What a score came from, out of the names of its signals: with a judge, with the model, with rules alone, or none."""
+    names = F.transform(signals, lambda s: s["name"])
+    return F.when(F.array_contains(names, "llm_judge"), "judged").when(F.array_contains(names, "transformer"), "model").when(F.size(signals) > 0, "rules").otherwise("none")
+
+
+def payload(blended: DataFrame) -> DataFrame:
+    """(document_id, engine_mode, signals): each signal's score and weight as JSON, the shape in which scores are kept; signals that aren't there are marked so."""
+    names = list(Weights().base)
+    by_name = F.map_from_entries(F.transform("blended_signals", lambda s: F.struct(s["name"], F.struct(four_places(s["score"]).alias("score"), four_places(s["weight"]).alias("weight"), F.lit(True).alias("available")))))
+    none = F.struct(F.lit(None).cast("double").alias("score"), F.lit(None).cast("double").alias("weight"), F.lit(False).alias("available"))
+    return blended.select("document_id", engine_mode(F.col("blended_signals")).alias("engine_mode"), F.to_json(F.struct(*[F.coalesce(F.try_element_at(by_name, F.lit(n)), none).alias(n) for n in names])).alias("signals"))
+
+
 def pool_chunks(chunks: DataFrame) -> DataFrame:
     """(document_id, label, probability): chunk probabilities weighted by the root of their words, less with each place further back.
 

@@ -148,6 +148,15 @@ CARDS: dict[str, tuple[str, Callable[..., DataFrame]]] = {
 }
 
 
+def scoped(df: DataFrame, days: int | None = None, platform: str | None = None, synthetic: bool = True, date_col: str = "event_date", cfg: Config = DEFAULT) -> DataFrame:
+    """The rows of the last `days` days, of one platform, and with or without synthetic documents; each is optional."""
+    if days:
+        df = df.filter(F.col(date_col) >= F.date_sub(F.lit(cfg.as_of), days))
+    if platform:
+        df = df.filter(F.col("source_platform") == platform)
+    return df if synthetic else df.filter(~F.coalesce("is_synthetic", F.lit(False)))
+
+
 def export_documents(feed: DataFrame, docs: DataFrame) -> DataFrame:
     """The feed with whole texts instead of excerpts."""
     whole = docs.select("document_id", F.col("title").alias("t"), F.col("body").alias("b"))

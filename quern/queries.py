@@ -37,6 +37,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+ORACLE_INTAKE = """WITH f AS (SELECT *, trim(concat_ws(' ', title, body)) = '' AS empty, source_platform = 'news' AND coalesce(relevance_score, 0) <= 1e-9 AS irrelevant FROM raw_documents),
+u AS (SELECT doc_uid, min(document_id) AS first FROM f WHERE NOT empty AND NOT irrelevant GROUP BY 1),
+l AS (SELECT f.*, first FROM f LEFT JOIN u USING (doc_uid)),
+c AS (SELECT lower(content_hash) AS h, min(document_id) AS cfirst FROM l WHERE NOT empty AND NOT irrelevant AND document_id = first GROUP BY 1)
+SELECT document_id, CASE WHEN empty THEN 'empty' WHEN irrelevant THEN 'irrelevant' WHEN document_id = first AND (content_hash IS NULL OR document_id = cfirst) THEN 'new' ELSE 'duplicate' END AS outcome FROM l LEFT JOIN c ON lower(content_hash) = h"""
+
+
 class Models:
     """The staged frames and marts over one folder, each built once on first use; all of them are lazy plans."""
 
@@ -310,6 +317,44 @@ def card_storage(spark, d):
     return cards.storage_sizes(spark, d, ["raw_documents", "documents", "document_sentiment", "document_aspect_sentiment", "ingestion_runs", "data_quality_results", "dim_aspect"])
 
 
+@query("export_sources_scoped", f"SELECT source_platform, source_name, sum(document_count) AS documents, sum(positive_count) AS positive_count, sum(neutral_count) AS neutral_count, sum(negative_count) AS negative_count, {_NSS1} AS nss, {sql_ratio('sum(CAST(round(avg_confidence * 10000) AS BIGINT) * document_count)', 'sum(document_count) * 10000', 3)} AS avg_confidence, min(event_date) AS first_date, max(event_date) AS last_date FROM sentiment_daily WHERE event_date >= {AS_OF} - 120 AND source_platform = 'news' AND NOT coalesce(is_synthetic, FALSE) GROUP BY 1, 2")
+def export_sources_scoped(spark, d):
+    return cards.export_sources(cards.scoped(Models(spark, d).sentiment_daily, 120, "news", False))
+
+
+@query("intake_counts", "SELECT outcome, count(*) AS n FROM (" + ORACLE_INTAKE + ") GROUP BY 1")
+def intake_counts(spark, d):
+    """What an intake reports: rows by outcome."""
+    return dedup.outcome_counts(dedup.intake_outcomes(table(spark, d, "raw_documents")))
+
+
+@query("score_payload")
+def score_payload(spark, d):
+    """The blended signals as JSON, with what the score came from."""
+    return scoring.payload(_blended(spark, d))
+
+
+def _word_classifier():
+    """A stand-in for a model: made in each worker, it reads praise and complaint words."""
+
+    def classify(texts: list[str]) -> list[dict[str, float]]:
+        out = []
+        for t in texts:
+            low = t.lower()
+            good, bad = sum(low.count(w) for w in ("cepat", "quick", "mantap")), sum(low.count(w) for w in ("lemot", "slow", "error"))
+            out.append({"positive": (1 + good) / (2 + good + bad), "negative": (1 + bad) / (2 + good + bad)})
+        return out
+
+    return classify
+
+
+@query("scorer_run")
+def scorer_run(spark, d):
+    """Every text through a classifier: windows, batches, pooling."""
+    docs = spread(table(spark, d, "raw_documents").select("document_id", F.concat_ws(" ", "title", "body").alias("text")))
+    return scoring.run_scorer(docs, _word_classifier).select("document_id", "available", "n_chunks", F.col("probabilities")["negative"].alias("negative"), "entropy")
+
+
 @query("export_documents", f"""SELECT document_id, event_date, f.source_platform, f.source_name, coalesce(nullif(d.title, ''), headline) AS title, coalesce(nullif(d.body, ''), excerpt) AS body, f.url, sentiment_label, {_dbl('sentiment_score', 'confidence')}, dominant_emotion, f.rating, negative_aspects, positive_aspects, requires_review, review_reason, model_version
 FROM feed f JOIN raw_documents d USING (document_id)""")
 def export_documents(spark, d):
@@ -465,7 +510,7 @@ def txt_tokens(spark, d):
     return _body(spark, d, n_tokens=F.size(t), tokens=F.array_join(t, " "))
 
 
-@query("txt_emoji", _BODY.format("(length(body) - length(translate(body, '👍🙏😀😍❤', ''))) - (length(body) - length(translate(body, '😡😠👎😢💔', ''))) AS balance"))
+@query("txt_emoji", _BODY.format(f"(length(body) - length(translate(body, '{tx.GOOD_EMOJI}', ''))) - (length(body) - length(translate(body, '{tx.BAD_EMOJI}', ''))) AS balance"))
 def txt_emoji(spark, d):
     return _body(spark, d, balance=tx.emoji_balance(F.col("body")))
 
@@ -513,12 +558,14 @@ ORACLE["txt_simhash"] = _SIM
 @query("txt_sentences")
 def txt_sentences(spark, d):
     s, c = tx.sentences(F.col("body")), tx.clauses(F.col("body"))
-    return _body(spark, d, n_sentences=F.size(s), n_clauses=F.size(c), n_chunks=F.size(tx.chunks(F.col("body"), most=6)))
+    return _body(spark, d, n_sentences=F.size(s), n_clauses=F.size(c), n_chunks=F.size(tx.chunks(F.col("body"))))
 
 
 @query("txt_normalized")
 def txt_normalized(spark, d):
-    return _body(spark, d, clean=tx.clean_text(F.col("body")), normalized=tx.normalize_tokens(F.col("body"), PACK["slang"]))
+    # Resolved once; both columns start from it.
+    rows = _body(spark, d, body=tx.unescaped(F.col("body")))
+    return rows.select("document_id", tx.clean_text(F.col("body")).alias("clean"), tx.normalize_tokens(F.col("body"), PACK["slang"]).alias("normalized"))
 
 
 @query("src_domain", r"SELECT document_id, nullif(regexp_replace(lower(regexp_extract(url, '^[a-zA-Z]+://([^/:?#]+)', 1)), '^www\.', ''), '') AS domain FROM raw_documents")
@@ -580,11 +627,7 @@ def dedup_uid(spark, d):
     return dedup.keep_first(table(spark, d, "raw_documents").select("document_id", "doc_uid"), ["doc_uid"], "document_id")
 
 
-@query("dedup_intake", """WITH f AS (SELECT *, trim(concat_ws(' ', title, body)) = '' AS empty, source_platform = 'news' AND coalesce(relevance_score, 0) <= 1e-9 AS irrelevant FROM raw_documents),
-u AS (SELECT doc_uid, min(document_id) AS first FROM f WHERE NOT empty AND NOT irrelevant GROUP BY 1),
-l AS (SELECT f.*, first FROM f LEFT JOIN u USING (doc_uid)),
-c AS (SELECT lower(content_hash) AS h, min(document_id) AS cfirst FROM l WHERE NOT empty AND NOT irrelevant AND document_id = first GROUP BY 1)
-SELECT document_id, CASE WHEN empty THEN 'empty' WHEN irrelevant THEN 'irrelevant' WHEN document_id = first AND (content_hash IS NULL OR document_id = cfirst) THEN 'new' ELSE 'duplicate' END AS outcome FROM l LEFT JOIN c ON lower(content_hash) = h""")
+@query("dedup_intake", ORACLE_INTAKE)
 def dedup_intake(spark, d):
     return dedup.intake_outcomes(table(spark, d, "raw_documents"))
 
@@ -695,12 +738,12 @@ def stream_dedup(spark, d):
     return intake.run_available(stream.select("event_id", "user_id", "event_type", "value", "ts"), "dedup").select("event_id", "user_id", "event_type", "value")
 
 
-@query("stream_daily_counts")
+@query("stream_daily_counts", "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_daily_counts(spark, d):
-    """Windows that the watermark has closed, as an append stream gives them."""
+    """Every day's counts in update mode, the days that the watermark has not closed included."""
     stream = intake.windowed_counts(intake.read_files(spark, _one_folder(spark, d, "events")), "ts", "event_type")
     flat = stream.select(F.col("window.start").alias("day"), "event_type", "n")
-    return intake.run_available(flat, "daily").select(F.to_date("day").alias("day"), "event_type", "n")
+    return intake.run_updates(flat, "daily", ["day", "event_type"]).select(F.to_date("day").alias("day"), "event_type", "n")
 
 
 @lru_cache(maxsize=64)

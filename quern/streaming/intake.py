@@ -40,6 +40,27 @@ def run_available(stream: DataFrame, name: str, mode: str = "append") -> DataFra
     return spark.read.schema(stream.schema).parquet(f"{at}/rows")
 
 
+def run_updates(stream: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """An aggregation in update mode over what is there, then the latest row of each combination of keys: windows that the watermark has not closed
+    are given, too. Every micro-batch writes its own folder, so a batch that is repeated after a failure replaces itself."""
+    import uuid
+
+    spark = stream.sparkSession
+    at = f"{shared_dir(spark)}/stream-{name}-{uuid.uuid4().hex}"
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.withColumn("__batch", F.lit(number)).write.mode("overwrite").parquet(f"{at}/rows/part={number}")
+
+    query = stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{at}/state").outputMode("update").trigger(availableNow=True).start()
+    query.awaitTermination()
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{at}/rows")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], stream.schema)
+    rows = spark.read.parquet(f"{at}/rows").drop("part")
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*stream.columns), "__batch").alias("r"))
+    return latest.select("r.*")
+
+
 def upsert_stream(stream: DataFrame, target: str, checkpoint: str, key: list[str], update: list[str], once: bool = True):
     """foreachBatch upsert into a Parquet table of versioned folders: a batch that is replayed after a failure writes the same version again."""
     spark = stream.sparkSession

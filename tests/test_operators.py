@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
+import json
 import random
 import subprocess
 import sys
@@ -265,3 +266,44 @@ def test_package_is_shipped_once_and_shared_tables_can_be_cleared(spark):
     ship(spark)
     df = materialize(spark.range(3), "t")
     assert df.count() == 3 and clear_shared(spark) >= 1
+
+
+def test_scorer_cuts_batches_and_pools(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def load():
+        seen.add(1)
+        return lambda texts: [{"p": 1.0 if "good" in t else 0.0, "n": 0.0 if "good" in t else 1.0} for t in texts]
+
+    docs = spark.createDataFrame([(1, "good " * 30), (2, "good " * 20 + "bad " * 20), (3, None), (4, "")], "document_id long, text string").coalesce(1)
+    got = {r.document_id: r for r in scoring.run_scorer(docs, load, size=20, overlap=0, batch=2).collect()}
+    assert seen.value == 1 and got[1].probabilities == {"p": 1.0, "n": 0.0} and got[1].n_chunks == 1 and got[3].n_chunks == 1
+    assert got[2].n_chunks == 2 and got[2].probabilities["p"] == pytest.approx(1.12 / 2.12)
+
+    def refuses():
+        raise OSError("no weights")
+
+    assert not any(r.available for r in scoring.run_scorer(docs, refuses).collect())
+    with pytest.raises(Exception, match="no weights"):
+        scoring.run_scorer(docs, refuses, fail_soft=False).collect()
+
+
+def test_payload_and_engine_mode(spark):
+    cols = "document_id long, source_platform string, n_words int, entropy double, s_transformer double, s_emotion double, s_rating double, s_aspect double"
+    b = scoring.blend(spark.createDataFrame([(1, "news", 40, 0.2, 0.9, None, None, None), (2, "x", 40, None, None, None, 0.5, None), (3, "x", 0, None, None, None, None, None)], cols))
+    assert [r.m for r in b.select("document_id", scoring.engine_mode(F.col("blended_signals")).alias("m")).orderBy("document_id").collect()] == ["model", "rules", "none"]
+    got = {r.document_id: json.loads(r.signals) for r in scoring.payload(b).collect()}
+    assert got[1]["transformer"] == {"score": 0.9, "weight": 0.5775, "available": True} and got[1]["rating"] == {"available": False} and got[2]["rating"]["score"] == 0.5
+
+
+def test_text_is_resolved_before_it_is_cleaned(spark):
+    assert one(spark, tx.unescaped(F.lit("Rp&nbsp;5 &eacute; &amp; ﬁn"))) == "Rp 5 é & fin" and one(spark, tx.unescaped(F.lit("plain"))) == "plain"
+    assert one(spark, tx.clean_text(F.lit("a &lt;b&gt; c\nEditor: Sari Dewi"))) == "a c"
+    good, bad = tx.emoji_counts(F.lit("🔥🔥 🤬"))
+    assert (one(spark, good), one(spark, bad)) == (2, 1)
+    assert one(spark, tx.clauses(F.lit("cepat selain itu murah hanya saja jauh"))) == ["cepat", "murah", "jauh"]
+
+
+def test_exports_are_scoped(spark):
+    rows = spark.createDataFrame([(dt.date(2020, 1, 1), "news", False), (Config().as_of, "news", True), (Config().as_of, "reddit", None), (Config().as_of, "news", None)], "event_date date, source_platform string, is_synthetic boolean")
+    assert cards.scoped(rows).count() == 4 and cards.scoped(rows, 30).count() == 3 and cards.scoped(rows, 30, "news").count() == 2 and cards.scoped(rows, 30, "news", False).count() == 1
