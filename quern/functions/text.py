@@ -157,9 +157,9 @@ def clean_text(text: Column, boilerplate: tuple[str, ...] = BOILERPLATE) -> Colu
     return F.trim(F.regexp_replace(t, r"(?U)\s+", " "))
 
 
-def normalize_tokens(text: Column, slang: dict[str, str]) -> Column:
+def normalize_tokens(text: Column, slang: dict[str, str], cleaned: bool = False) -> Column:
     """Clean, lower-case, mentions out, letters repeated three times or more once, other marks out, slang replaced token by token."""
-    t = F.regexp_replace(F.lower(clean_text(text)), r"@\w+", " ")
+    t = F.regexp_replace(F.lower(text if cleaned else clean_text(text)), r"@\w+", " ")
     t = F.regexp_replace(t, r"(\p{L})\1{2,}", "$1")
     t = F.regexp_replace(t, r"[^\p{L}\p{N}\s,']", " ")
     words = F.filter(F.split(F.trim(t), r"\s+"), lambda w: w != "")

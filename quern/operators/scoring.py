@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.metrics import four_places
-from quern.functions.text import chunks, clauses, keyword_pattern, normalize_tokens
+from quern.functions.text import chunks, clauses, clean_text, keyword_pattern, normalize_tokens
 
 Scorer = Callable[[DataFrame], DataFrame]
 #: Texts -> for each a map label -> probability.
@@ -179,7 +179,9 @@ def detect_aspects(docs: DataFrame, aspects: dict[str, tuple[str, ...]], slang:
 
     aspects: code -> keywords, a domain pack small enough for one expression; it is compiled into the plan, not joined.
     """
-    norm = docs.select("document_id", F.transform(clauses(F.concat_ws(". ", "title", "body")), lambda c: normalize_tokens(c, slang or {})).alias("clauses"))
+    # Cleaned once, outside the lambda, which is interpreted for each clause.
+    clean = docs.select("document_id", clean_text(F.concat_ws(". ", "title", "body")).alias("text"))
+    norm = clean.select("document_id", F.transform(clauses(F.col("text")), lambda c: normalize_tokens(c, slang or {}, cleaned=True)).alias("clauses"))
 
     def found(keywords: tuple[str, ...]) -> Column:
         pattern = F.lit(keyword_pattern(keywords))
