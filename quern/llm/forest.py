@@ -357,7 +357,7 @@ def replay(
     min_words: int = 50,
     target: float = 0.9,
     hits: int = 2,
-    batches: int = 3,
+    batches: int = 2,
 ) -> DataFrame:
     """(id,) of the rows that repeat something of an earlier day: same uid, same hash in any letter case, or a similar text.
 
