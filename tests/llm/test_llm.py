@@ -66,7 +66,7 @@ def test_query_agrees_with_sql(spark, duck, sf_dir, name):
 @pytest.mark.parametrize("name", sorted(set(q.QUERIES) - set(q.ORACLE)))
 def test_query_without_sql_runs(spark, sf_dir, name):
     df = q.QUERIES[name](spark, sf_dir)
-    assert df.columns and df.count() >= 0
+    assert df.columns and (df.count() > 0 or name == "p8_passages")  # no passage leaked into the smallest tables
 
 
 # --- 1
