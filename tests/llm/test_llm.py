@@ -319,6 +319,43 @@ def test_contexts_are_counted_with_what_follows():
     assert len(truncation.count_contexts(blocks, [[], []], 6, most=2)[0]) <= 2
 
 
+def test_contexts_are_counted_over_the_whole_table(spark):
+    rng = random.Random(3)
+    base = text(200_000, rng)
+    bodies = [base[20_000 * i :] + base[: 19_000 * i] for i in range(6)]
+    phrases = [text(8, rng) for _ in range(20)]
+    bodies += [" ".join(f"{p} {rng.choice(VOCAB)}" for _ in range(8)) + " also" * i for i, p in enumerate(phrases)]
+    bodies += [text(20 + i, rng) + " " + p for i, p in enumerate(phrases)]
+    got = {r.id: r.log_odds for r in truncation.truncated_values(raw(spark, [{"document_id": i, "body": b} for i, b in enumerate(bodies)])).collect()}
+    data = [truncation._bytes(b) for b in bodies]
+    joined = b"\0".join(data) + b"\0"
+    first = 1 / (sum(len(b) - 1 for b in data) + 50)  # nothing ends inside these texts
+    for i in range(26, 46):
+        end = first
+        for n in truncation.ORDERS:
+            c, at, on = data[i][-n:], -1, 0
+            while (at := joined.find(c, at + 1)) >= 0:
+                on += joined[at + n] != 0
+            own = len({b[-truncation.WITNESS :] for b in data if b.endswith(c)}) - 1
+            end = (own + truncation.SMOOTHING * end) / (on + own + truncation.SMOOTHING)
+        end = max(end, 1e-12)
+        assert abs(got[i] - (np.log1p(-end) - np.log(end) - np.log((1 - first) / first))) < 1e-6
+
+
+def test_the_filter_of_asked_contexts_decides_nothing(spark):
+    texts = [f"the old car {w} and the red car {v}." for w, v in zip(VOCAB[:200], VOCAB[300:500])]
+    ends = spark.createDataFrame([("body", b"and the red car", 1), ("body", b"car", 1)], "field string, end binary, witnesses long")
+    asked = ends.mapInPandas(truncation._asked, "field string, end binary, witnesses long, at int, key long")
+    docs = spark.createDataFrame([(t, "en") for t in texts], "text string, language string")
+    got = {r.key: r.n for r in truncation.count_asked(docs, asked).collect()}
+    keys, size = truncation.tail_keys([b"and the red car"])
+    for k, n in enumerate(truncation.ORDERS):
+        want, counts = truncation.count_contexts([np.frombuffer(truncation._bytes(t) + b"\0", dtype=np.uint8) for t in texts], [[], []], n)
+        c = dict(zip(want.tolist(), counts.tolist())).get(int(keys[0][k]), [0, 0, 0])
+        assert size[0] < n or [got.get(int((keys[0][k] | np.uint64(w)).view(np.int64)), 0) for w in range(3)] == c[:3]
+        assert c[1] == (400 if n == 4 else 200) or size[0] < n
+
+
 def test_headlines_of_a_number_of_words_are_abridged(spark):
     rng = random.Random(3)
     subj, verb = ["the old baker", "a tall farmer", "the new teacher", "my young neighbour", "the harbour pilot"], ["was selling", "had mended", "will bring", "is carrying"]
