@@ -81,6 +81,17 @@ def test_repeated_lines_need_different_documents(spark):
     assert clean[0].body == rows[0]["body"].split("\n")[0] and clean[0].removed_lines == 1 and clean[100].body == "wire story\nsame for all"
 
 
+def test_lines_by_rows_compute_nothing_else(spark, tmp_path):
+    rows = [{"document_id": i, "source_name": "s" if i < 60 else None, "body": "same text\nNotice 12!" if i < 6 else f"only here x{VOCAB[i]}\n\nnotice {i}" if i % 3 else None} for i in range(90)]
+    docs = raw(spark, rows)
+    docs.drop("published_at", "ingested_at").write.parquet(f"{tmp_path}/raw_documents.parquet")  # no dates to read
+    found = q.p1_found(spark, str(tmp_path))
+    assert {tuple(r) for r in found.collect()} == {(i, n) for i in range(90) for n in ((1, 2) if i < 6 else (3,) if i % 3 else ())}
+    lines = boilerplate.lines_by_rows(docs)
+    assert sorted(tuple(r) for r in lines.select("source", "n_rows", "source_rows").collect()) == [("", 20, 30), ("s", 6, 60), ("s", 42, 60)]
+    assert lines.columns == ["source", "line_key", "n_rows", "source_rows"]
+
+
 def test_lines_at_the_edges(spark):
     docs = edges(spark)
     lines = boilerplate.repeated_lines(docs, 0.0, 1, 1, 1)
